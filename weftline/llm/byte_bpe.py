@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import map_batches, ready, table, texts
-from .encoders import _Remembering, cut_at_spaces
+from .encoders import LIMIT, PieceEncoder, _slices
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 NONE = np.int32(2**31 - 1)
@@ -66,10 +66,10 @@ class PairTable:
         return np.where((left < 0) | (right < 0), NONE, out)
 
 
-class MatrixBpe(_Remembering):
-    """Encodes as tiktoken does, and decodes. Remembers pieces as (ids, decimal ids)."""
+class MatrixBpe(PieceEncoder):
+    """Encodes as tiktoken does, and decodes."""
 
-    def __init__(self, path: str, pattern: str = public_tokenizers.PATTERN, limit: int = 300_000) -> None:
+    def __init__(self, path: str, pattern: str = public_tokenizers.PATTERN, limit: int = LIMIT) -> None:
         super().__init__(limit)
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
@@ -77,93 +77,99 @@ class MatrixBpe(_Remembering):
         self.pattern = regex.compile(pattern)
         self.pairs = PairTable({(ranks[t[:i]], ranks[t[i:]]): r for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks})
         self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
-        self.size = max(ranks.values()) + 1
-        self.token = [b""] * self.size
+        self.token = [b""] * (max(ranks.values()) + 1)
         for t, r in ranks.items():
             self.token[r] = t
-        self.first_known: dict[str, tuple[bytes, bytes]] = {}
-
-    def merge(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of each pre-token."""
-        out: list[np.ndarray | None] = [None] * len(words)
-        buckets: dict[int, list[int]] = {}
-        for i, w in enumerate(words):
-            if (r := self.ranks.get(w)) is not None:
-                out[i] = np.array([r], np.uint32)
-            else:
-                n = len(w)
-                buckets.setdefault(n if n <= 16 else 1 << (n - 1).bit_length(), []).append(i)
-        for width, members in buckets.items():
-            step = max(1, 2_000_000 // width)
+        self.decimal = [str(i).encode() for i in range(len(self.token))]
+
+    def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pre-tokens one after another, number of ids of each)."""
+        known = np.fromiter((self.ranks.get(w, -1) for w in words), np.int64, len(words))
+        rows, parts = [np.flatnonzero(known >= 0)], [known[known >= 0, None].astype(np.int32)]
+        sizes = np.ones(len(words), np.int64)
+        left = np.flatnonzero(known < 0)
+        lengths = np.fromiter((len(words[i]) for i in left.tolist()), np.int64, len(left))
+        buckets = np.where(lengths <= 16, lengths, 1 << np.ceil(np.log2(np.maximum(lengths, 1))).astype(np.int64))
+        for width in np.unique(buckets).tolist():
+            members = left[buckets == width]
+            step = max(1, 4_000_000 // width)
             for a in range(0, len(members), step):
-                self._matrix([words[i] for i in members[a : a + step]], members[a : a + step], width, out)
-        return out
-
-    def _matrix(self, words: list[bytes], rows: list[int], width: int, out: list) -> None:
-        lengths = np.array([len(w) for w in words])
-        raw = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(len(words), width)
+                at = members[a : a + step]
+                for r, ids, n in self._rounds([words[i] for i in at.tolist()], at, width):
+                    rows.append(r)
+                    parts.append(ids)
+                    sizes[r] = n
+        starts = np.cumsum(sizes) - sizes
+        out = np.empty(int(sizes.sum()), np.uint32)
+        for r, ids in zip(rows, parts, strict=True):
+            inside = np.arange(ids.shape[1]) < sizes[r, None]
+            out[(starts[r, None] + np.arange(ids.shape[1]))[inside]] = ids[inside]
+        return out, sizes
+
+    def _rounds(self, words: list[bytes], at: np.ndarray, width: int):
+        """Yields (rows, their ids padded, their lengths) as rows come to their end."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        raw = np.frombuffer(b"".join([w.ljust(width, b"\0") for w in words]), np.uint8).reshape(len(words), width)
         ids = np.where(np.arange(width) < lengths[:, None], self.byte_ids[raw], np.int32(-1))
-        at = np.array(rows)
         rank = self.pairs.find(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(words), width - 1)
         while len(ids):
             j = rank.argmin(axis=1)  # the leftmost of equal ranks
-            n = np.arange(len(ids))
-            best = rank[n, j]
+            best = rank[np.arange(len(ids)), j]
             done = best == NONE
             if done.any():
-                for k in np.flatnonzero(done):
-                    out[at[k]] = ids[k, : lengths[k]].astype(np.uint32)
+                yield at[done], ids[done], lengths[done]
                 go = ~done
-                width = int(lengths[go].max(initial=1))
-                ids, rank, at, lengths, j, best = ids[go, :width], rank[go, : max(width - 1, 1)], at[go], lengths[go], j[go], best[go]
-                n = np.arange(len(ids))
-                if not len(ids):
-                    break
-            cols = np.arange(ids.shape[1])
-            after = cols[None, :] > j[:, None]
-            shifted = np.concatenate([ids[:, 1:], np.full((len(ids), 1), -1, np.int32)], axis=1)
-            ids = np.where(after, shifted, ids)
+                if not go.any():
+                    return
+                width = int(lengths[go].max())
+                ids, rank, at, lengths, j, best = ids[go, :width], rank[go, : width - 1], at[go], lengths[go], j[go], best[go]
+            n, cols = np.arange(len(ids)), np.arange(ids.shape[1])
+            # Close the gap: what stands right of a merged pair moves left by one.
+            source = cols[None, :] + (cols[None, :] > j[:, None])
+            padded = np.concatenate([ids, np.full((len(ids), 1), -1, np.int32)], axis=1)
+            ids = np.take_along_axis(padded, source, axis=1)
             ids[n, j] = best
+            padded = np.concatenate([rank, np.full((len(rank), 1), NONE, np.int32)], axis=1)
+            rank = np.take_along_axis(padded, source[:, :-1], axis=1)
             lengths = lengths - 1
-            shifted = np.concatenate([rank[:, 1:], np.full((len(rank), 1), NONE, np.int32)], axis=1)
-            rank = np.where(after[:, : rank.shape[1]], shifted, rank)
-            right = np.where(j + 1 < ids.shape[1], ids[n, np.minimum(j + 1, ids.shape[1] - 1)], -1)
-            last = rank.shape[1] - 1
-            new = self.pairs.find(best, right)
-            ok = j <= last
-            rank[n[ok], j[ok]] = new[ok]
-            has = j > 0
-            rank[n[has], j[has] - 1] = self.pairs.find(ids[n[has], j[has] - 1], best[has])
-
-    def _pieces(self, keys: list[str], lead: str) -> list[tuple[bytes, bytes]]:
-        found = [[m.encode() for m in self.pattern.findall(lead + k)] for k in keys]
-        words = list({w for f in found for w in f})
-        ids = dict(zip(words, self.merge(words), strict=True))
-        got = [np.concatenate([ids[w] for w in f]) if f else np.zeros(0, np.uint32) for f in found]
-        return [(x.tobytes(), ",".join(map(str, x.tolist())).encode()) for x in got]
-
-    def _ids(self, keys: list[str]) -> list[tuple[bytes, bytes]]:
-        return self._pieces(keys, " ")
-
-    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
-        """(ids as little-endian unsigned 32-bit bytes, decimal ids joined by commas) of each text."""
-        cut = [cut_at_spaces(t) for t in texts]
-        seen: set[str] = set()
-        for pieces in cut:
-            seen.update(pieces[1:])
-        self._learn(seen)
-        heads = list({p[0] for p in cut})
-        first = dict(zip(heads, self._pieces(heads, ""), strict=True))
-        out = []
-        for pieces in cut:
-            got = [first[pieces[0]], *map(self.known.__getitem__, pieces[1:])]
-            out.append((b"".join([g[0] for g in got]), b",".join([g[1] for g in got if g[1]])))
-        self._tidy()
-        return out
-
-    def decode(self, ids: bytes) -> bytes:
-        token = self.token
-        return b"".join([token[i] for i in np.frombuffer(ids, np.uint32).tolist()])
+            more = j + 1 < ids.shape[1]
+            rank[n[more], j[more]] = self.pairs.find(best[more], ids[n[more], j[more] + 1])
+            more = j > 0
+            rank[n[more], j[more] - 1] = self.pairs.find(ids[n[more], j[more] - 1], best[more])
+
+    def _tokens(self, tokens: list[str], first: np.ndarray) -> list[bytes]:
+        """Ids of pieces whose pre-tokens follow each other; first: where each piece begins among them."""
+        number = {t: i for i, t in enumerate(dict.fromkeys(tokens))}
+        ids, sizes = self.merge([t.encode() for t in number])
+        which = np.fromiter(map(number.__getitem__, tokens), np.int64, len(tokens))
+        values = _slices(ids, np.cumsum(sizes) - sizes)
+        ends = np.append(first[1:], len(tokens))
+        single = ends - first == 1
+        heads = which[first].tolist()
+        return [values[h] if one else b"".join([values[k] for k in which[a:b]]) for h, one, a, b in zip(heads, single.tolist(), first.tolist(), ends.tolist(), strict=True)]
+
+    def learn(self, pieces: list[str]) -> list[bytes]:
+        plain = [bool(p) and not p[0].isspace() for p in pieces]
+        easy = [p for p, ok in zip(pieces, plain, strict=True) if ok]
+        got: list[bytes] = []
+        if easy:
+            tokens = self.pattern.findall(" " + " ".join(easy))
+            got = self._tokens(tokens, np.flatnonzero(np.fromiter((t[0] == " " for t in tokens), bool, len(tokens))))
+        easy_ids, hard_ids = iter(got), iter(self.whole([" " + p for p, ok in zip(pieces, plain, strict=True) if not ok]))
+        return [next(easy_ids if ok else hard_ids) for ok in plain]
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        found = [self.pattern.findall(t) for t in texts]
+        full = [f for f in found if f]
+        got = iter(self._tokens([t for f in full for t in f], np.cumsum([0, *map(len, full[:-1])])) if full else [])
+        return [next(got) if f else b"" for f in found]
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        return b"".join(map(self.token.__getitem__, ids.tolist()))
+
+    def written(self, ids: np.ndarray) -> bytes:
+        """Decimal ids joined by commas."""
+        return b",".join(map(self.decimal.__getitem__, ids.tolist()))
 
 
 @lru_cache(maxsize=2)
@@ -180,7 +186,7 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         bpe = matrix_bpe(path)
 
         def work(batch):
-            ids = [np.frombuffer(x[0], np.uint32).astype(np.int32) for x in bpe.encode(batch.column(1).to_pylist())]
+            ids = [x.astype(np.int32) for x in bpe.encode(batch.column(1)).split()]
             return [batch.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32()))]
 
         return work
@@ -195,7 +201,7 @@ def decode_ids(encoded: DataFrame, path: str) -> DataFrame:
         import pyarrow as pa
 
         bpe = matrix_bpe(path)
-        return lambda batch: [batch.column(0), pa.array([bpe.decode(np.array(x or [], np.uint32).tobytes()) for x in batch.column(1).to_pylist()], pa.binary())]
+        return lambda batch: [batch.column(0), pa.array([bpe.decode(np.array(x or [], np.int64)) for x in batch.column(1).to_pylist()], pa.binary())]
 
     return map_batches(encoded.select("doc_id", "ids"), make, "doc_id long, data binary")
 
@@ -207,12 +213,12 @@ def round_trip_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_
         bpe = matrix_bpe(path)
 
         def work(batch):
-            got = bpe.encode(batch.column(1).to_pylist())
+            got = bpe.encode(batch.column(1)).split()
             return [
                 batch.column(0),
-                [len(ids) // 4 for ids, _ in got],
-                [hashlib.sha256(decimal).hexdigest() for _, decimal in got],
-                [hashlib.sha256(bpe.decode(ids)).hexdigest() for ids, _ in got],
+                [len(ids) for ids in got],
+                [hashlib.sha256(bpe.written(ids)).hexdigest() for ids in got],
+                [hashlib.sha256(bpe.decode(ids)).hexdigest() for ids in got],
             ]
 
         return work

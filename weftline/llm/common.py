@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch that goes to Python; whole texts, so kept low.
-BATCH_ROWS = 512
+BATCH_ROWS = 1024
 #: ASCII blanks: the only separators between words in the contracts of these operators.
 BLANK = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"

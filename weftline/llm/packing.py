@@ -39,8 +39,8 @@ def pieces(docs: DataFrame, path: str, kind: str = "byte", capacity: int = CAPAC
 
         def work(batch):
             ids, rows = batch.column(0).to_pylist(), ([], [], [], [], [])
-            for doc, got in zip(ids, enc.encode(batch.column(1).to_pylist()), strict=True):
-                got += tail
+            for doc, got in zip(ids, enc.encode(batch.column(1)).split(), strict=True):
+                got = got.tobytes() + tail
                 n = len(got) // 4
                 first = n % capacity or min(n, capacity)
                 for k, start in enumerate([0, *range(first, n, capacity)]):

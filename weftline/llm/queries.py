@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+from . import line_dedup
 from .byte_bpe import op3_byte_bpe
+from .packing import op7_best_fit_packing
+from .quality_rules import op10_quality_rules
+from .telephony import op6_telephony
 from .token_counts import op5_token_counts
+from .token_files import op9_token_files
 
 QUERIES = {
+    "op2_line_dedup": line_dedup.op2_line_dedup,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_token_counts": op5_token_counts,
+    "op6_telephony": op6_telephony,
+    "op7_best_fit_packing": op7_best_fit_packing,
+    "op9_token_files": op9_token_files,
+    "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_line_dedup": line_dedup.ORACLE}

@@ -26,7 +26,7 @@ def length_histogram(docs: DataFrame, path: str, kind: str = "byte", id_col: str
 
     def make():
         enc = encoder(kind, path)
-        return lambda batch: [[len(x) // 4 for x in enc.encode(batch.column(1).to_pylist())]]
+        return lambda batch: [enc.count(batch.column(1))]
 
     return map_batches(texts(docs, id_col, text_col), make, "n_tokens long").groupBy("n_tokens").agg(F.count("*").alias("n_docs"))
 

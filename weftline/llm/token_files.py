@@ -117,16 +117,16 @@ def sorted_ids(docs: DataFrame, path: str, kind: str = "word", end: int = END, i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        enc, shard, before, tail = encoder(kind, path), TaskContext.get().partitionId(), 0, np.array([end], np.uint32).tobytes()
+        enc, shard, before = encoder(kind, path), TaskContext.get().partitionId(), 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            got = [x + tail for x in enc.encode(batch.column(1).to_pylist())]
-            ids, doc = np.frombuffer(b"".join(got), np.uint32), batch.column(0)
+            got, doc = enc.encode(batch.column(1)), batch.column(0)
+            ids = np.insert(got.ids, got.ends, end)
             parts = [
                 doc.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8"),
                 np.asarray(doc.is_null().to_numpy(zero_copy_only=False), np.uint8),
-                np.array([len(x) // 4 for x in got], "<u4"),
+                (got.lengths + 1).astype("<u4"),
                 ids.astype("<u2"),  # the vocabulary has under 65,536 ids
             ]
             yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([before]), pa.array([len(ids)]), *(pa.array([p.tobytes()], pa.binary()) for p in parts)], names=["shard", "before", "n_ids", "docs", "empty", "lens", "ids"])
