@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import ready, stored, table
 
-RATIO = 0.3
+RATIO = 0.1
 MIN_PAGES = 3
 BROADCAST_LINES = 100_000
 
