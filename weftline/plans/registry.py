@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from . import cleaning, merging, tracking
+
+QUERIES = {**merging.QUERIES, **cleaning.QUERIES, **tracking.QUERIES}
+ORACLES = {**merging.ORACLES, **cleaning.ORACLES, **tracking.ORACLES}
