@@ -69,6 +69,17 @@ def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def relax() -> None:
+    """Give freed memory back to the system: workers live long, and what they keep counts against their executor."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], object]], schema: str) -> DataFrame:
     """mapInArrow where make() gives, once per task, the function from a batch to columns (or to None).
 

@@ -28,14 +28,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import partitions, ready, stored, table, texts
+from .common import partitions, ready, relax, stored, table, texts
 
 HELD_OUT = 10
 SWEEPS, BURN_IN = 3, 1
 CONCENTRATION = 1.0
 #: Reserved hashes of the end of a text and of its beginning.
 END, BEGIN = np.uint64(0), np.uint64(1)
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_000_000
 #: Documents from which very frequent words are found; these only decide where rows go.
 PROBE_DOCS = 2_000
 _DTYPES = ("<u8", "<u4", "<u2", "<i8", "<f8", "u1")
@@ -131,6 +131,24 @@ def with_ends(words: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return tokens, context, np.repeat(np.arange(len(ends)), sizes)
 
 
+def tidy(work):
+    """A function of one or two groups that leaves no freed memory behind."""
+
+    def run_one(t: pa.Table) -> pa.Table:
+        try:
+            return work(t)
+        finally:
+            relax()
+
+    def run_two(left: pa.Table, right: pa.Table) -> pa.Table:
+        try:
+            return work(left, right)
+        finally:
+            relax()
+
+    return run_one if work.__code__.co_argcount == 1 else run_two
+
+
 SCHEMA = "kind string, bucket int, other long, n1 long, n2 long, payload binary"
 NAMES = ["kind", "bucket", "other", "n1", "n2", "payload"]
 TYPES = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
@@ -178,8 +196,11 @@ def blocks(docs: DataFrame, deal: Deal) -> DataFrame:
             if held >= BLOCK_TOKENS:
                 yield rows(flush(block, parts))
                 block, parts, held = block + 1, [], 0
+                relax()
         if parts:
             yield rows(flush(block, parts))
+        del parts
+        relax()
 
     return docs.mapInArrow(run, SCHEMA)
 
@@ -221,7 +242,7 @@ def merged(dealt: DataFrame, deal: Deal) -> DataFrame:
             at += len(p)
         return pa.Table.from_batches([rows(out)])
 
-    return dealt.groupBy("bucket").applyInArrow(run, SCHEMA)
+    return dealt.groupBy("bucket").applyInArrow(tidy(run), SCHEMA)
 
 
 def seat(rng: np.random.Generator, customers: np.ndarray, parent: np.ndarray, others: np.ndarray, discount: float) -> np.ndarray:
@@ -289,7 +310,7 @@ def context_counts(graphs: DataFrame, n: int, begins: int) -> DataFrame:
                 out.append(("U", bucket, r["other"], len(words), 0, pack(narrow(np.where(hit, i + 1, 0)))))
         return pa.Table.from_batches([rows(out)])
 
-    return graphs.mapInArrow(ask, SCHEMA).groupBy("bucket").applyInArrow(answer, SCHEMA)
+    return graphs.mapInArrow(ask, SCHEMA).groupBy("bucket").applyInArrow(tidy(answer), SCHEMA)
 
 
 def split_by_context(g: Graph, n: int, values: np.ndarray) -> list[tuple[int, np.ndarray]]:
@@ -335,7 +356,7 @@ def context_tables(asked: DataFrame, state: DataFrame, sweep: int) -> DataFrame:
             out.append(("Q", other, sweep, len(at), bucket, pack(narrow(values))))
         return pa.Table.from_batches([rows(out)])
 
-    return asked.groupBy("bucket").cogroup(state.groupBy("bucket")).applyInArrow(run, SCHEMA)
+    return asked.groupBy("bucket").cogroup(state.groupBy("bucket")).applyInArrow(tidy(run), SCHEMA)
 
 
 class Whole:
@@ -376,7 +397,7 @@ def sweep_once(graphs: DataFrame, before: DataFrame, deal: Deal, whole: Whole, s
         parent_new = seat(rng, by_word, base, np.maximum(whole.parent_tables - parent_tables, 0), whole.parent_discount)
         return pa.Table.from_batches([rows(state_rows(r["bucket"], sweep, g, deal.n, new, parent_new, np.isin(g.words, deal.words)))])
 
-    return graphs.groupBy("bucket").cogroup(before.groupBy("bucket")).applyInArrow(run, SCHEMA)
+    return graphs.groupBy("bucket").cogroup(before.groupBy("bucket")).applyInArrow(tidy(run), SCHEMA)
 
 
 def text_scores(parts: DataFrame, kept: DataFrame, wholes: dict[int, Whole], tokens: int, split_counts: dict[int, int]) -> DataFrame:
@@ -405,7 +426,7 @@ def text_scores(parts: DataFrame, kept: DataFrame, wholes: dict[int, Whole], tok
                 out.append(("F", r["bucket"], r["other"], 0, 0, pack(*(np.bincount(doc, x[index]) for x in (base, score)), np.bincount(doc, known[index]).astype("<u4"))))
         return pa.Table.from_batches([rows(out)])
 
-    return parts.groupBy("bucket").cogroup(kept.groupBy("bucket")).applyInArrow(run, SCHEMA)
+    return parts.groupBy("bucket").cogroup(kept.groupBy("bucket")).applyInArrow(tidy(run), SCHEMA)
 
 
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -430,7 +451,7 @@ def by_document(parts: DataFrame, tokens: int) -> DataFrame:
             }
         )
 
-    return parts.groupBy("other").applyInArrow(run, RESULT)
+    return parts.groupBy("other").applyInArrow(tidy(run), RESULT)
 
 
 def frequent_words(docs: DataFrame, n: int) -> dict[int, int]:
