@@ -69,6 +69,11 @@ def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def carried(df: DataFrame, *columns: str) -> DataFrame:
+    """The whole row as one column `_row` beside some of its columns: whatever a stage adds can't clash with the rest."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), *columns)
+
+
 def relax() -> None:
     """Give freed memory back to the system: workers live long, and what they keep counts against their executor."""
     import ctypes

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ready, stored, table
+from .common import carried, ready, stored, table
 
 RATIO = 0.1
 MIN_PAGES = 3
@@ -85,7 +85,6 @@ FROM documents d LEFT JOIN (
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with its boilerplate lines dropped; n_chars follows the text."""
     ready(spark)
-    d = dedup_lines(docs)
-    if "n_chars" in docs.columns:
-        d = d.withColumn("n_chars", F.when(F.col("_n_dropped") == 0, F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return d.select(*[F.col(f"`{c}`") for c in docs.columns])
+    d = dedup_lines(carried(docs, "source", "text"))
+    new = {"text": F.col("text"), "n_chars": F.when(F.col("_n_dropped") == 0, F.col("_row.n_chars")).otherwise(F.length("text").cast("long")) if "n_chars" in docs.columns else None}
+    return d.select(*[new[c].alias(c) if c in new else F.col(f"_row.`{c}`") for c in docs.columns])

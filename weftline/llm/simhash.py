@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, partitions, ready, stored, table, texts
+from .common import carried, map_batches, partitions, ready, stored, table, texts
 
 SHINGLE = 3
 SEED = 42
@@ -258,6 +258,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component: the one of the smallest id; rows that share an id are one, rows without id stay."""
     ready(spark)
-    found = near_duplicates(docs).where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept")).distinct()
-    kept = docs.join(found, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    least = near_duplicates(docs).where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("least")).distinct()
+    rows = carried(docs, "doc_id")
+    kept = rows.join(least, F.col("doc_id") == F.col("least"), "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(rows.where(F.col("doc_id").isNull())).select("_row.*")

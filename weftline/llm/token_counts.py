@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import map_batches, ready, table, texts
+from .common import map_batches, ready, stored, table, texts
 from .encoders import encoder
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -74,4 +74,5 @@ def quantile(limits: DataFrame, q: float) -> int | None:
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
-    return limit_table(length_histogram(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY)))
+    histogram = stored(length_histogram(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY)), "lengths")
+    return limit_table(histogram)

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, ready, stored, table
+from .common import carried, map_batches, ready, stored, table
 
 TOXIC_ROWS, OTHER_ROWS = 4_000, 8_000
 PATTERNS = 5_000
@@ -219,4 +219,4 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that aren't rejected."""
     ready(spark)
     model = fit(docs, table(spark, sf_dir, "labels"))
-    return docs.withColumn("_tox", scored(model, F.col("text"))).where(F.col("_tox.score") < THRESHOLD).drop("_tox")
+    return carried(docs, "text").withColumn("s", scored(model, F.col("text"))).where(F.col("s.score") < THRESHOLD).select("_row.*")
