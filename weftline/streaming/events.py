@@ -13,10 +13,10 @@ from weftline.operators.logs import REQUIRED, validation_values
 RECORD = "epoch long, up long, chrf double, ce_mean_words double, bleu_detok double"
 
 
-def assemble_stream(lines: DataFrame) -> DataFrame:
+def assemble_stream(lines: DataFrame, give_up_ms: int | None = 3_600_000) -> DataFrame:
     """Records from a stream of log lines: each key waits in state until its required values have arrived.
 
-    A value that comes after its record opens the key anew; keys that wait for an hour are given up.
+    A value that comes after its record opens the key anew; keys that wait longer than give_up_ms are given up.
     """
     from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -35,13 +35,14 @@ def assemble_stream(lines: DataFrame) -> DataFrame:
                         have = [None] * len(REQUIRED)
         if any(v is not None for v in have):
             state.update(tuple(have))
-            state.setTimeoutDuration(3_600_000)
+            if give_up_ms:
+                state.setTimeoutDuration(give_up_ms)
         elif state.exists:
             state.remove()
         yield pd.DataFrame(done, columns=["epoch", "up", *REQUIRED])
 
     values = validation_values(lines).select("epoch", "up", "key", "value")
-    return values.groupBy("epoch", "up").applyInPandasWithState(run, RECORD, "chrf double, ce_mean_words double, bleu_detok double", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return values.groupBy("epoch", "up").applyInPandasWithState(run, RECORD, "chrf double, ce_mean_words double, bleu_detok double", "append", GroupStateTimeout.ProcessingTimeTimeout if give_up_ms else GroupStateTimeout.NoTimeout)
 
 
 def windows(events: DataFrame, length: str, slide: str | None = None, late: str | None = None) -> DataFrame:
