@@ -229,7 +229,7 @@ def test_simhash(docs, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
-@pytest.mark.parametrize("group", [2048, 16])
+@pytest.mark.parametrize("group", [2048, 24])
 def test_links_equal_all_pairs(spark, group):
     ready(spark)
     rng, values = np.random.default_rng(3), [0, 1, 3, 7, 15, 2**63]
@@ -286,7 +286,7 @@ def test_quality_rules(docs, empty, labels):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in r.text or ""), len(lines) - len(set(lines)), sum(marked), failed)
         assert r.llr == pytest.approx(llr, abs=1e-9) and r.kept == (not failed and r.llr >= quality_rules.THRESHOLD)
     assert quality_rules.judge(empty.select("doc_id", "text"), quality_rules.fit(empty, labels)).count() == 0
-    assert quality_rules.judge(docs.select("doc_id", "text"), quality_rules.fit(docs, labels.where("1 = 0"))).where("llr <> 0").count() == 0
+    assert all(r.llr == 0 for r in quality_rules.judge(docs.select("doc_id", "text"), quality_rules.fit(docs, labels.where("1 = 0"))).collect())
 
 
 def test_line_dedup(spark, docs, empty):
@@ -299,7 +299,7 @@ def test_line_dedup(spark, docs, empty):
 
 
 def test_toxicity(spark, docs, empty, labels):
-    assert toxicity.fold("You 1D10T! stuрid a55 ＩＤＩＯＴ moron###") == " you ldlot stupld ass ldlot moron "
+    assert toxicity.fold("You 1D10T! stuрid a55hole ＩＤＩＯＴ moron###") == " you ldlot stupld asshole ldlot moron "
     rows = [(i, f"{'vile ' * 3 if i % 5 == 0 else 'fine '}text number {'abcdefgh'[i % 8]} " + ("horrid villain" if i % 5 == 0 else "pleasant day")) for i in range(400)]
     d = spark.createDataFrame(rows, "doc_id long, text string")
     model = toxicity.fit(d, d.select("doc_id", (F.col("doc_id") % 5 == 0).cast("int").alias("toxic")))
