@@ -312,8 +312,9 @@ def test_toxicity(spark, docs, empty, labels):
     assert empty.select(toxicity.scored(toxicity.fit(empty, labels), F.col("text"))).count() == 0
 
 
-def test_pitman_yor(spark, docs, empty):
-    got = pitman_yor.score_texts(docs).collect()
+@pytest.mark.parametrize("buckets", [1, 7])
+def test_pitman_yor(spark, docs, empty, buckets):
+    got = pitman_yor.score_texts(docs, buckets=buckets).collect()
     tokens = {i: [*(t or "").encode().lower().split(), None] for i, t in TEXTS}
     held = {i: i is not None and zlib.crc32(str(i).encode()) % 10 == 0 for i in tokens}
     c = Counter()
@@ -326,7 +327,8 @@ def test_pitman_yor(spark, docs, empty):
         want = sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in tokens[r.doc_id])
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[r.doc_id], len(tokens[r.doc_id]), sum(c[w] > 0 for w in tokens[r.doc_id]), n)
         assert r.base_score == pytest.approx(want, abs=1e-6) and r.score < 0
-    assert pitman_yor.score_texts(empty).count() == 0
+    if buckets == 1:
+        assert pitman_yor.score_texts(empty).count() == 0
 
 
 def test_parent_is_a_distribution():

@@ -36,6 +36,9 @@ CONCENTRATION = 1.0
 #: Reserved hashes of the end of a text and of its beginning.
 END, BEGIN = np.uint64(0), np.uint64(1)
 BLOCK_TOKENS = 1_000_000
+#: Bytes of text for which a word bucket is made, up to as many buckets as there are shuffle partitions: messages between
+#: buckets are as many as their square, so there are no more of them than the data needs.
+BUCKET_BYTES = 8_000_000
 #: Documents from which very frequent words are found; these only decide where rows go.
 PROBE_DOCS = 2_000
 _DTYPES = ("<u8", "<u4", "<u2", "<i8", "<f8", "u1")
@@ -479,10 +482,12 @@ def _discount(once: int, twice: int) -> float:
     return min(0.95, max(0.05, once / (once + 2 * twice))) if once + twice else 0.5
 
 
-def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sweeps: int = SWEEPS, burn_in: int = BURN_IN, seed: int = 1) -> DataFrame:
+def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sweeps: int = SWEEPS, burn_in: int = BURN_IN, seed: int = 1, buckets: int | None = None) -> DataFrame:
     """The model of the training documents, applied to all: see RESULT."""
     spark = docs.sparkSession
-    n, d = partitions(spark), texts(docs, id_col, text_col)
+    d = texts(docs, id_col, text_col)
+    size = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = buckets or max(1, min(partitions(spark), -(-size // BUCKET_BYTES)))
     deal = Deal(n, frequent_words(d, n))
     tables = stored(merged(blocks(d, deal), deal), "py-buckets", partition_by="kind").select(*NAMES)
     kind = lambda df, *k: df.where(F.col("kind").isin(*k))
