@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import carried, map_batches, partitions, ready, stored, table, texts
+from .near_copies import near_copies
 
 SHINGLE = 3
 SEED = 42
@@ -256,9 +257,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component: the one of the smallest id; rows that share an id are one, rows without id stay."""
+    """One document of each component of near copies (five-word shingles, Jaccard similarity of 0.8): the one of the
+    smallest id; rows that share an id are one, rows without id stay."""
     ready(spark)
-    least = near_duplicates(docs).where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("least")).distinct()
+    least = near_copies(docs).where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("least")).distinct()
     rows = carried(docs, "doc_id")
     kept = rows.join(least, F.col("doc_id") == F.col("least"), "left_semi").dropDuplicates(["doc_id"])
     return kept.unionByName(rows.where(F.col("doc_id").isNull())).select("_row.*")
