@@ -298,6 +298,16 @@ def test_line_dedup(spark, docs, empty):
     assert line_dedup.dedup_lines(empty).count() == 0 and line_dedup.dedup_lines(docs).count() == len(TEXTS)
 
 
+def test_line_dedup_stage_drops_rare_boilerplate(spark):
+    """A line on 5 of a site's 500 pages is repeated; one on 4 may be chance; a larger site asks for more pages."""
+    pages = [(k, "a", f"own {k}" + "\nfive" * (k < 5) + "\nfour" * (k < 4)) for k in range(500)]
+    pages += [(1000 + k, "b", f"own {k}" + "\nfive" * (k < 5) + "\neight" * (k < 8)) for k in range(1200)]
+    df = spark.createDataFrame([(i, s, t, len(t)) for i, s, t in pages], "doc_id long, source string, text string, n_chars long")
+    got = {r.doc_id: r for r in line_dedup.stage(spark, df, "").collect()}
+    assert got[0].text == "own 0\nfour" and got[0].n_chars == 10 and got[4].text == "own 4"
+    assert got[1000].text == "own 0\nfive" and got[1007].text == "own 7" and got[499].text == "own 499"
+
+
 def test_toxicity(spark, docs, empty, labels):
     assert toxicity.fold("You 1D10T! stuрid a55hole ＩＤＩＯＴ moron###") == " you ldlot stupld asshole ldlot moron "
     rows = [(i, f"{'vile ' * 3 if i % 5 == 0 else 'fine '}text number {'abcdefgh'[i % 8]} " + ("horrid villain" if i % 5 == 0 else "pleasant day")) for i in range(400)]
