@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 
 from weftline.plans import registry
+from weftline.sources import derived as D
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -42,3 +43,8 @@ def test_equals_sql(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLES)))
 def test_runs(spark, name):
     assert registry.QUERIES[name](spark, SF).count() > 0
+
+
+def test_every_line_has_an_index_map(spark):
+    lines = D.lines(spark, SF).select("doc_id", "line_no")
+    assert lines.exceptAll(registry.QUERIES["map_indices"](spark, SF).select("doc_id", "line_no")).count() == 0
