@@ -341,6 +341,13 @@ def test_pitman_yor(spark, docs, empty, buckets):
         assert pitman_yor.score_texts(empty).count() == 0
 
 
+def test_perplexity(docs):
+    got = pitman_yor.score_texts(docs, buckets=1).collect()
+    assert len(got) == len(TEXTS)
+    for r in got:
+        assert r.n_tokens > 0 and r.perplexity == pytest.approx(10 ** (-r.score / r.n_tokens)) and r.perplexity >= 1
+
+
 def test_parent_is_a_distribution():
     """The parent's probabilities of all words and of the unknown one sum to 1."""
     u8 = lambda *x: np.array(x, np.uint64)

@@ -483,7 +483,10 @@ def _discount(once: int, twice: int) -> float:
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sweeps: int = SWEEPS, burn_in: int = BURN_IN, seed: int = 1, buckets: int | None = None) -> DataFrame:
-    """The model of the training documents, applied to all: see RESULT."""
+    """The model of the training documents, applied to all: RESULT and perplexity, 10 ** (-score / n_tokens).
+
+    The end of a text is a token, so a null or empty text has a perplexity too; it is null only where n_tokens is 0.
+    """
     spark = docs.sparkSession
     d = texts(docs, id_col, text_col)
     size = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -525,7 +528,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if sweep > burn_in:
             kept = kept.unionByName(kind(state, "S")).unionByName(answers)
     scores = text_scores(kind(tables, "G", "K"), kept, {k: v for k, v in wholes.items() if k > burn_in}, tokens, {unsigned(w): c for w, (c, _) in split.items()})
-    return by_document(kind(tables, "D").unionByName(scores), tokens)
+    found = by_document(kind(tables, "D").unionByName(scores), tokens)
+    return found.withColumn("perplexity", F.when(F.col("n_tokens") > 0, F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens"))))
 
 
 def op4_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
