@@ -152,6 +152,73 @@ def test_packing(docs, empty):
     assert packing.pack_documents(empty, P.path(packing.VOCABULARY)).count() == 0
 
 
+def test_long_pre_tokens():
+    """Pre-tokens above LONG_BYTES, by the heap, as tiktoken has them, and a megabyte of them within a minute."""
+    import time
+
+    import pyarrow as pa
+
+    tik, bpe = tiktoken_of(byte_bpe.VOCABULARY), byte_bpe.matrix_bpe(P.path(byte_bpe.VOCABULARY))
+    rng = np.random.default_rng(8)
+    letters = lambda signs, n: "".join(rng.choice(list(signs), n))
+    for t in ("a" * 5000, letters("abcdefgh", 20_000), letters("etaoinshr", 1024), letters("etaoinshr", 1025), "so " + "ünïé中文" * 900 + " on"):
+        assert bpe.encode(pa.array([t])).ids.tolist() == tik.encode_ordinary(t)
+    t, began = letters("etaoinshrdlu", 1_000_000), time.perf_counter()
+    assert bpe.encode(pa.array([t])).ids.tolist() == tik.encode_ordinary(t) and time.perf_counter() - began < 60
+
+
+def test_stored_pcm_and_features(spark):
+    """Every number of the feature column worked out sample by sample, and the PCM column from other containers."""
+    from weftline.llm.common import stored
+
+    texts = ["", "hello wörld", "x" * 1500]
+    media = stored(telephony.text_media(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")), "t")
+    got = {r.doc_id: r.feature for r in telephony.media_digests(media).collect()}
+
+    def mulaw(b):
+        b = ~b & 255
+        size = ((((b & 15) << 3) + 132) << (b >> 4 & 7)) - 132
+        return -size if b & 128 else size
+
+    def alaw(b):
+        b ^= 85
+        e, m = b >> 4 & 7, b & 15
+        size = (m << 4) + 8 if e == 0 else ((m << 4) + 264) << (e - 1)
+        return size if b & 128 else -size
+
+    def ima(block):
+        value, index = int.from_bytes(block[:2], "little", signed=True), min(block[2], 88)
+        out = [value]
+        for b in block[4:]:
+            for code in (b & 15, b >> 4):
+                step = int(telephony.STEPS[index])
+                d = (step >> 3) + sum(step >> k for k, bit in ((0, 4), (1, 2), (2, 1)) if code & bit)
+                value = max(-32768, min(32767, value - d if code & 8 else value + d))
+                index = max(0, min(88, index + (2 * (code & 7) - 6 if code & 4 else -1)))
+                out.append(value)
+        return out
+
+    def resampled(x, up, down):
+        return [(lambda i, k: (x[i] * (up - k) + x[min(i + 1, len(x) - 1)] * k) // up)(*divmod(j * down, up)) for j in range(-(-len(x) * up // down))]
+
+    for i, t in enumerate(texts):
+        p = telephony.payload_of(t)
+        mu, a = [mulaw(b) for b in p], [alaw(b) for b in p]
+        out = resampled(mu, telephony.UP, telephony.DOWN)
+        pcm = np.array(out, "<i2").tobytes()
+        adpcm = [v for k in range(0, len(p), 576) for v in ima(p[k : k + 576])]
+        power = lambda x: sum(v * v for v in x) // len(x)
+        want = {"mulaw_power": power(mu), "alaw_power": power(a), "crossings": sum((x < 0) != (y < 0) for x, y in zip(mu, mu[1:], strict=False)), "pcm_samples": len(out), "pcm_power": power(out), "pcm_crc32": zlib.crc32(pcm), "adpcm_power": power(adpcm), "adpcm_peak": max(map(abs, adpcm))}
+        assert got[i] == ";".join(f"{k}={v}" for k, v in want.items())
+        assert media.where(F.col("doc_id") == i).first().pcm == pcm
+    raw = bytes(range(256))
+    rows = [(1, telephony.container(raw, telephony.ALAW)), (2, telephony.container(raw[:120], telephony.IMA, block=40)), (3, b"junk"), (4, None)]
+    pcm = {r.doc_id: (r.rate, r.pcm) for r in telephony.pcm_column(spark.createDataFrame(rows, "doc_id long, media binary")).collect()}
+    assert pcm[1] == (16_000, np.array(resampled([alaw(b) for b in raw], 2, 1), "<i2").tobytes())
+    assert pcm[2][1] == np.array(resampled([v for k in (0, 40, 80) for v in ima(raw[k : k + 40])], 2, 1), "<i2").tobytes()
+    assert pcm[3] == pcm[4] == (None, None)
+
+
 def test_fullest_is_the_best_subset():
     rng = np.random.default_rng(3)
     for _ in range(60):
@@ -262,8 +329,8 @@ def test_links_equal_all_pairs(spark, group):
 
 def test_quality_rules(docs, empty, labels):
     model = quality_rules.fit(docs, labels)
+    threshold, trusted = model.first().threshold, {r.doc_id for r in labels.where("quality = 1").where(f"pmod(xxhash64('threshold', doc_id), {quality_rules.TUNE}) <> 0").collect()}
     got = quality_rules.judge(docs.select("doc_id", "text"), model).collect()
-    trusted = {1, 2}
     h = lambda *w: (lambda s: [s := xxhash.xxh64_intdigest(x, s) for x in w][-1])(42)
     signed = lambda x: (x - (1 << 64) if x >> 63 else x) % quality_rules.BUCKETS
     grams = {k: [signed(h(w)) for w in words(t)] + [signed(h(a, b)) for a, b in zip(words(t), words(t)[1:], strict=False)] for k, (_, t) in enumerate(TEXTS)}
@@ -284,7 +351,7 @@ def test_quality_rules(docs, empty, labels):
         failed = len(w) < 50 or 100 * sum(marked) > 50 * len(w)
         llr = sum(math.log((good[b] + 20) / (raw[b] * scale + 20)) for b in g) / len(g) if g else 0.0
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in r.text or ""), len(lines) - len(set(lines)), sum(marked), failed)
-        assert r.llr == pytest.approx(llr, abs=1e-9) and r.kept == (not failed and r.llr >= quality_rules.THRESHOLD)
+        assert r.llr == pytest.approx(llr, abs=1e-9) and r.kept == (not failed and r.llr >= threshold)
     assert quality_rules.judge(empty.select("doc_id", "text"), quality_rules.fit(empty, labels)).count() == 0
     assert all(r.llr == 0 for r in quality_rules.judge(docs.select("doc_id", "text"), quality_rules.fit(docs, labels.where("1 = 0"))).collect())
 
@@ -309,6 +376,7 @@ def test_line_dedup_stage_drops_rare_boilerplate(spark):
 
 
 def test_toxicity(spark, docs, empty, labels):
+    assert toxicity.fold("a55 a$$! 5h1t idiot!! win7 in 2019") == " ass ass shlt ldlot wlnt ln "
     assert toxicity.fold("You 1D10T! stuрid a55hole ＩＤＩＯＴ moron###") == " you ldlot stupld asshole ldlot moron "
     rows = [(i, f"{'vile ' * 3 if i % 5 == 0 else 'fine '}text number {'abcdefgh'[i % 8]} " + ("horrid villain" if i % 5 == 0 else "pleasant day")) for i in range(400)]
     d = spark.createDataFrame(rows, "doc_id long, text string")
@@ -356,14 +424,3 @@ def test_parent_is_a_distribution():
     whole = pitman_yor.Whole((0.7, 0.5), 3, int(tables.sum()), int(parent.sum()), {})
     unknown = (pitman_yor.CONCENTRATION + 0.5 * parent.sum()) / 4 / (pitman_yor.CONCENTRATION + tables.sum())
     assert whole.parent(g, tables, parent).sum() + unknown == pytest.approx(1.0)
-
-
-def test_seating_follows_the_restaurant_rule():
-    """Mean tables of a dish by skipping to the next new table and by seating customers one by one."""
-    rng, n, d, p, others = np.random.default_rng(1), 40, 0.6, 0.3, 5
-    fast = pitman_yor.seat(rng, np.full(20_000, n), np.full(20_000, p), np.full(20_000, others), d).mean()
-    tables = np.ones(20_000)
-    for k in range(1, n):
-        new = (pitman_yor.CONCENTRATION + d * (others + tables)) * p
-        tables += rng.random(20_000) < new / (new + k - d * tables)
-    assert fast == pytest.approx(tables.mean(), rel=0.02)

@@ -4,14 +4,19 @@ Distinct pre-tokens of a batch are laid out in padded matrices, one for each buc
 merges its leftmost pair of lowest rank; the pair's rank comes from an open-addressed hash table, only the two pairs
 beside a merge are looked up again, and rows that can't merge any more leave the matrix.
 
+A round costs a row's length, so a pre-token of more than `LONG_BYTES` bytes, whose rounds would be as many as its bytes,
+leaves the matrices for a heap of its pairs with the same order of merges: by rank, then from the left.
+
 Edge cases: null text is empty; an empty text has no ids, whose digest is that of the empty string; repeated rows and
-null ids give a row each; very long pre-tokens take a matrix of their own.
+null ids give a row each; ties of rank go to the left; an empty table gives an empty result; further columns, whatever
+their names, are not looked at; texts and pre-tokens of any length are encoded whole.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 from functools import lru_cache
 
 import numpy as np
@@ -24,6 +29,8 @@ from .encoders import LIMIT, PieceEncoder, _slices
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 NONE = np.int32(2**31 - 1)
+#: Bytes of a pre-token above which it is merged by a heap.
+LONG_BYTES = 1024
 
 
 class PairTable:
@@ -75,7 +82,8 @@ class MatrixBpe(PieceEncoder):
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         ranks = self.ranks
         self.pattern = regex.compile(pattern)
-        self.pairs = PairTable({(ranks[t[:i]], ranks[t[i:]]): r for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks})
+        pairs = {(ranks[t[:i]], ranks[t[i:]]): r for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks}
+        self.pairs, self.pair_ids = PairTable(pairs), {a << 32 | b: r for (a, b), r in pairs.items()}
         self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         self.token = [b""] * (max(ranks.values()) + 1)
         for t, r in ranks.items():
@@ -88,6 +96,13 @@ class MatrixBpe(PieceEncoder):
         rows, parts = [np.flatnonzero(known >= 0)], [known[known >= 0, None].astype(np.int32)]
         sizes = np.ones(len(words), np.int64)
         left = np.flatnonzero(known < 0)
+        long = np.fromiter((len(words[i]) > LONG_BYTES for i in left.tolist()), bool, len(left))
+        for i in left[long].tolist():
+            ids = self.merge_long(words[i])
+            rows.append(np.array([i]))
+            parts.append(ids[None, :])
+            sizes[i] = len(ids)
+        left = left[~long]
         lengths = np.fromiter((len(words[i]) for i in left.tolist()), np.int64, len(left))
         buckets = np.where(lengths <= 16, lengths, 1 << np.ceil(np.log2(np.maximum(lengths, 1))).astype(np.int64))
         for width in np.unique(buckets).tolist():
@@ -106,6 +121,35 @@ class MatrixBpe(PieceEncoder):
             out[(starts[r, None] + np.arange(ids.shape[1]))[inside]] = ids[inside]
         return out, sizes
 
+    def merge_long(self, word: bytes) -> np.ndarray:
+        """Ids of one long pre-token. The heap holds a pair's rank and place; pairs that are gone by their turn are passed over."""
+        ids = self.byte_ids[np.frombuffer(word, np.uint8)]
+        rank = self.pairs.find(ids[:-1], ids[1:])
+        at = np.flatnonzero(rank != NONE)
+        heap = sorted(zip(rank[at].tolist(), at.tolist(), strict=True))
+        get, n = self.pair_ids.get, len(ids)
+        ids, after, before = ids.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+        now = rank.tolist() + [int(NONE)]  # rank of the pair that begins at a place, NONE where there is none
+        while heap:
+            r, i = heapq.heappop(heap)
+            if now[i] != r:
+                continue
+            j = after[i]
+            ids[i], now[j], ids[j], k = r, int(NONE), -1, after[j]
+            after[i] = k
+            now[i] = int(NONE)
+            if k < n:
+                before[k] = i
+                if (x := get(r << 32 | ids[k])) is not None:
+                    now[i] = x
+                    heapq.heappush(heap, (x, i))
+            if (h := before[i]) >= 0:
+                x = get(ids[h] << 32 | r)
+                now[h] = int(NONE) if x is None else x
+                if x is not None:
+                    heapq.heappush(heap, (x, h))
+        return np.array([x for x in ids if x >= 0], np.int32)
+
     def _rounds(self, words: list[bytes], at: np.ndarray, width: int):
         """Yields (rows, their ids padded, their lengths) as rows come to their end."""
         lengths = np.fromiter(map(len, words), np.int64, len(words))

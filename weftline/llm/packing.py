@@ -4,10 +4,12 @@ Documents become pieces of at most `capacity` tokens; only longer documents are
 short of the capacity. Packing works on the histogram of piece lengths, which has at most `capacity` entries whatever
 the number of pieces: take the longest length left, find by a bitset subset-sum over the lengths left the fullest
 combination that fits beside it, and remove that combination as often as the counts allow. Pieces then get their places
-from their rank within their length, in groups that grow in number, not in size.
+from their rank within their length, in groups that grow in number, not in size: a piece's group comes from its place in
+the stored table, so equal rows don't meet in one group.
 
-Edge cases: null or empty text is the end token alone; an empty table gives an empty result; repeated rows and null ids
-are packed like any other; further columns are not looked at.
+Edge cases: null or empty text is the end token alone; a text of any length is cut as a whole; an empty table gives an
+empty result; repeated rows and null ids are packed like any other; ties among lengths are settled by place in the table;
+further columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -31,29 +33,33 @@ GROUP = 20_000
 
 
 def pieces(docs: DataFrame, path: str, kind: str = "byte", capacity: int = CAPACITY, end: int = END, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32): a row for each piece of each document."""
+    """(doc_id, piece, start, length, ids_crc32, mark): a row for each piece of each document; mark numbers the pieces."""
 
     def make():
-        enc = encoder(kind, path)
+        from itertools import count
+
+        from pyspark import TaskContext
+
+        enc, number = encoder(kind, path), count(TaskContext.get().partitionId() << 40)
         tail = np.array([end], np.uint32).tobytes()
 
         def work(batch):
-            ids, rows = batch.column(0).to_pylist(), ([], [], [], [], [])
+            ids, rows = batch.column(0).to_pylist(), ([], [], [], [], [], [])
             for doc, got in zip(ids, enc.encode(batch.column(1)).split(), strict=True):
                 got = got.tobytes() + tail
                 n = len(got) // 4
                 first = n % capacity or min(n, capacity)
                 for k, start in enumerate([0, *range(first, n, capacity)]):
                     part = got[4 * start : 4 * (first if k == 0 else start + capacity)]
-                    for column, v in zip(rows, (doc, k, start, len(part) // 4, zlib.crc32(part)), strict=True):
+                    for column, v in zip(rows, (doc, k, start, len(part) // 4, zlib.crc32(part), next(number)), strict=True):
                         column.append(v)
             import pyarrow as pa
 
-            return [pa.array(c, t) for c, t in zip(rows, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)]
+            return [pa.array(c, t) for c, t in zip(rows, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()), strict=True)]
 
         return work
 
-    return map_batches(texts(docs, id_col, text_col), make, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return map_batches(texts(docs, id_col, text_col), make, "doc_id long, piece int, start long, length long, ids_crc32 long, mark long")
 
 
 @dataclass
@@ -138,11 +144,11 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     # Rank within a length: row numbers in groups of about GROUP pieces, plus the sizes of the groups before.
     groups = [max(1, -(-histogram.get(k, 0) // GROUP)) for k in range(capacity + 1)]
     many = F.get(F.split(F.lit(",".join(map(str, groups))), ",").cast("array<long>"), F.col("length").cast("int"))
-    keyed = cut.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), many))
+    keyed = cut.withColumn("grp", F.pmod(F.xxhash64("mark"), many))
     sizes = keyed.groupBy("length", "grp").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("length", "grp", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    ranked = keyed.withColumn("rank", F.row_number().over(Window.partitionBy("length", "grp").orderBy("doc_id", "piece", "start", "ids_crc32")) - 1)
+    ranked = keyed.withColumn("rank", F.row_number().over(Window.partitionBy("length", "grp").orderBy("mark")) - 1)
     ranked = ranked.join(sizes, ["length", "grp"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("before")).alias("rank"))
 
     def make():

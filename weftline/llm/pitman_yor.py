@@ -1,24 +1,39 @@
 """Hierarchical Pitman-Yor bigram model, trained and applied in blocks.
 
 Every word is a restaurant's context; all context restaurants share one parent restaurant of words, whose base is
-uniform over the vocabulary and one unknown symbol. Seating is sampled by Gibbs in blocks: the customers of one dish in
-one restaurant leave and sit down again one by one by the Chinese-restaurant rule, given the other tables and the parent.
-The waiting time until a dish's next new table is beta-geometric, so a block takes a step for each table, not for each
-customer. Predictive probabilities are averaged over the sweeps kept. Discounts are estimated from counts of counts.
-
-Layout. Tokens are cut into blocks on the map side and dealt out by the hash of the predicted word; very frequent words
-are split by context. A word bucket holds its words' counts, its bigrams and its tokens, so the parent restaurant is
-local to it. What it needs from elsewhere are the totals of each context: it asks the context's bucket once, and then
-only values in that order go back and forth, a few bytes a context and sweep. Nothing of the size of the vocabulary
-reaches the driver or one task. Words are identified by their 64-bit XXH64 (two words in 10^9 share one with
-probability 0.03).
-
-Edge cases: null text is empty, and an empty text is its end token; without training documents probabilities are those
-of the base; an empty table gives an empty result; repeated rows are documents each; null ids are never held out.
+uniform over the vocabulary and one unknown symbol. Seating is sampled by Gibbs in blocks: all customers of one dish in
+one restaurant leave, and the number of tables at which they sit down again is drawn given the other tables and the
+parent. Up to `EXACT` customers it is drawn from its exact conditional, by generalised Stirling numbers; above, by a
+Metropolis step: customers sit down one by one by the Chinese-restaurant rule, with early new tables damped as the
+conditional asks, which proposes where new tables open, and the proposal is taken or not by the weights of both paths.
+The waiting time until a dish's next new table is beta-geometric, so a path takes a step for each table, not for each
+customer. All dishes are updated at once from the
+state after the sweep before. Predictive probabilities are averaged over the sweeps kept, and give each document's
+perplexity. Discounts are estimated from counts of counts.
+
+Draws depend on the seed, the sweep, the word and its context only: the result is the same for any number of buckets,
+partitions and machines, but for the order in which a document's logarithms are added up.
+
+Layout. Texts are cut into blocks of tokens, which are written once. From the blocks' own counts follow the words of more
+than half a bucket's share of all tokens: each block names its words of at least an eighth of a share, so none above five
+eighths is missed. Then tokens are dealt out by the hash of the predicted word, those of very frequent words by context too. There
+is a bucket for every `BUCKET_BYTES` of text, so a bucket's memory doesn't grow with the input. A word bucket holds its
+words' counts, its bigrams and its tokens, so the parent restaurant is local to it. What it needs from elsewhere are the
+totals of each context: it asks the context's bucket once, and then only values in that order go back and forth, a few
+bytes a context and sweep. There are a quarter as many context buckets as word buckets; messages between them are as many
+as their product, so beyond a few TB `bucket_bytes` should grow with the square root of the input. Nothing of the size of
+the vocabulary reaches the driver or one task. Words are identified by their 64-bit XXH64 (two words in 10^9 share one
+with probability 0.03).
+
+Edge cases: null text is empty, and an empty text is its end token; a text of any length is read whole, as part of one
+block; without training documents probabilities are those of the base; an empty table gives an empty result; repeated
+rows are documents each; null ids are never held out; ties don't arise; further columns, whatever their names, are not
+looked at.
 """
 
 from __future__ import annotations
 
+import math
 import struct
 from collections.abc import Iterator
 
@@ -28,7 +43,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import partitions, ready, relax, stored, table, texts
+from .common import discard, pieces_of, ready, relax, stored, table, texts
 
 HELD_OUT = 10
 SWEEPS, BURN_IN = 3, 1
@@ -36,11 +51,10 @@ CONCENTRATION = 1.0
 #: Reserved hashes of the end of a text and of its beginning.
 END, BEGIN = np.uint64(0), np.uint64(1)
 BLOCK_TOKENS = 1_000_000
-#: Bytes of text for which a word bucket is made, up to as many buckets as there are shuffle partitions: messages between
-#: buckets are as many as their square, so there are no more of them than the data needs.
+#: Bytes of text for which a word bucket is made.
 BUCKET_BYTES = 8_000_000
-#: Documents from which very frequent words are found; these only decide where rows go.
-PROBE_DOCS = 2_000
+#: Customers of a dish up to which its tables are drawn from their exact conditional.
+EXACT = 2048
 _DTYPES = ("<u8", "<u4", "<u2", "<i8", "<f8", "u1")
 
 
@@ -161,8 +175,8 @@ def rows(items: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*items, strict=True) if items else [()] * 6, TYPES, strict=True)], names=NAMES)
 
 
-def blocks(docs: DataFrame, deal: Deal) -> DataFrame:
-    """Kind D: the documents of a block (negative buckets); kind B: a block's tokens for a word bucket.
+def blocks(docs: DataFrame, n: int) -> DataFrame:
+    """Kind D: the documents of a block; kind T: its tokens; kind H: counts of the block's words that may be very frequent.
 
     Tokens stand as numbers of word and context within the row, and as twice the document's number, plus one in training.
     """
@@ -172,15 +186,14 @@ def blocks(docs: DataFrame, deal: Deal) -> DataFrame:
         shift = np.cumsum([0, *(len(p[0]) for p in parts[:-1])])
         tokens, context = (np.concatenate([p[i] for p in parts]) for i in (3, 4))
         doc = np.concatenate([p[5] + s for p, s in zip(parts, shift, strict=True)])
-        out = [("D", -1 - block % deal.n, block, len(ids), int(train.sum()), pack(ids, null, train.astype(np.uint8), np.bincount(doc, minlength=len(ids)).astype("<u4")))]
-        place = doc * 2 + train[doc]
-        to = deal.buckets(tokens, context)
-        order = np.argsort(to.astype(np.uint16 if deal.n < 65536 else np.int64), kind="stable")
-        for own in np.split(order, np.flatnonzero(np.diff(to[order])) + 1):
-            w, wi = np.unique(tokens[own], return_inverse=True)
-            u, ui = np.unique(context[own], return_inverse=True)
-            out.append(("B", int(to[own[0]]), block, len(own), 0, pack(w, u, narrow(wi), narrow(ui), narrow(np.diff(place[own], prepend=0)))))
-        return out
+        w, wi, counts = np.unique(tokens, return_inverse=True, return_counts=True)
+        u, ui = np.unique(context, return_inverse=True)
+        hot = np.flatnonzero(counts * (8 * n) >= len(tokens))
+        out = [
+            ("D", 0, block, len(ids), int(train.sum()), pack(ids, null, train.astype(np.uint8), np.bincount(doc, minlength=len(ids)).astype("<u4"))),
+            ("T", 0, block, len(tokens), 0, pack(w, u, narrow(wi), narrow(ui), narrow(np.diff(doc * 2 + train[doc], prepend=0)))),
+        ]
+        return out + [("H", 0, int(w[i].view(np.int64)), int(counts[i]), 0, None) for i in hot.tolist()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
@@ -188,9 +201,7 @@ def blocks(docs: DataFrame, deal: Deal) -> DataFrame:
         from pyspark import TaskContext
 
         block, parts, held = TaskContext.get().partitionId() << 24, [], 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (x for whole in batches for x in pieces_of(whole)):
             null = np.asarray(batch.column(0).is_null().to_numpy(zero_copy_only=False), np.uint8)
             ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype("<i8")
             train = np.fromiter((zlib.crc32(b"%d" % i) % HELD_OUT != 0 for i in ids.tolist()), bool, len(ids)) | (null == 1)
@@ -208,8 +219,30 @@ def blocks(docs: DataFrame, deal: Deal) -> DataFrame:
     return docs.mapInArrow(run, SCHEMA)
 
 
-def merged(dealt: DataFrame, deal: Deal) -> DataFrame:
-    """Word buckets: kind G, the bucket's graph; kind K, its tokens by block; kinds N, M and H, figures; D passes through.
+def dealt(tokens: DataFrame, deal: Deal) -> DataFrame:
+    """Kind B: a block's tokens for a word bucket. tokens: kind T."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                block, payload = batch.column(2)[i].as_py(), batch.column(5)[i].as_py()
+                w, u, wi, ui, marks = unpack(payload)
+                wi, ui, place = wi.astype(np.int64), ui.astype(np.int64), np.cumsum(marks, dtype=np.int64)
+                to = deal.buckets(w[wi], u[ui])
+                order = np.argsort(to.astype(np.uint16 if deal.n < 65536 else np.int64), kind="stable")
+                out = []
+                for own in np.split(order, np.flatnonzero(np.diff(to[order])) + 1):
+                    a, ai = np.unique(wi[own], return_inverse=True)
+                    b, bi = np.unique(ui[own], return_inverse=True)
+                    out.append(("B", int(to[own[0]]), block, len(own), 0, pack(w[a], u[b], narrow(ai), narrow(bi), narrow(np.diff(place[own], prepend=0)))))
+                yield rows(out)
+                relax()
+
+    return tokens.mapInArrow(run, SCHEMA)
+
+
+def merged(parts: DataFrame, deal: Deal) -> DataFrame:
+    """Word buckets of kind B: kind G, the bucket's graph; kind K, its tokens by block; kinds N, M and H, figures.
 
     N: bigrams seen once and twice; M: words that follow one and two contexts; H: count and contexts of a word that is
     dealt to several buckets.
@@ -217,8 +250,6 @@ def merged(dealt: DataFrame, deal: Deal) -> DataFrame:
 
     def run(t: pa.Table) -> pa.Table:
         items = t.to_pylist()
-        if items[0]["kind"] == "D":
-            return t
         items.sort(key=lambda r: r["other"])
         bucket, got = items[0]["bucket"], [unpack(r["payload"]) for r in items]
         words, wi = np.unique(np.concatenate([g[0] for g in got]), return_inverse=True)
@@ -245,28 +276,129 @@ def merged(dealt: DataFrame, deal: Deal) -> DataFrame:
             at += len(p)
         return pa.Table.from_batches([rows(out)])
 
-    return dealt.groupBy("bucket").applyInArrow(tidy(run), SCHEMA)
+    return parts.groupBy("bucket").applyInArrow(tidy(run), SCHEMA)
+
+
+def mixed(*parts: np.ndarray | int) -> np.ndarray:
+    """A 64-bit digest of numbers, element by element (steps of SplitMix64)."""
+    h = np.uint64(0)
+    with np.errstate(over="ignore"):
+        for p in parts:
+            h = np.asarray(p).astype(np.uint64) + h * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0x9E3779B97F4A7C15)
+            h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+            h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+            h ^= h >> np.uint64(31)
+    return h
+
+
+def exact_tables(u: np.ndarray, customers: np.ndarray, parent: np.ndarray, others: np.ndarray, discount: float) -> np.ndarray:
+    """Tables of dishes of 2 to EXACT customers, drawn by the uniform numbers u from their conditional distribution.
+
+    Its weight at t tables is the product of CONCENTRATION + discount * (others + i) over i < t, times parent ** t, times
+    the generalised Stirling number of the customers and t, whose rows are gone through in ascending order.
+    """
+    out = np.ones(len(customers), np.int64)
+    order = np.argsort(customers, kind="stable")
+    sizes, firsts = np.unique(customers[order], return_index=True)
+    row, c = np.zeros(1), 1  # logarithms of the Stirling numbers of c customers at 1 to c tables
+    for size, members in zip(sizes.tolist(), np.split(order, firsts[1:]), strict=True):
+        t = np.arange(1, size + 1)
+        while c < size:
+            before, stay = row, row + np.log(c - discount * t[:c])
+            row = np.append(stay, 0.0)
+            row[1:c] = np.logaddexp(stay[1:], before[:-1])
+            c += 1
+        for a in range(0, len(members), step := max(1, 500_000 // size)):
+            own = members[a : a + step]
+            weight = np.cumsum(np.log(CONCENTRATION + discount * (others[own, None] + t - 1)) + np.log(parent[own, None]), axis=1) + row
+            weight = np.exp(weight - weight.max(axis=1, keepdims=True))
+            total = np.cumsum(weight, axis=1)
+            out[own] = 1 + (total < u[own, None] * total[:, -1:]).sum(axis=1).clip(max=size - 1)
+    return out
+
+
+def _damped(seated: int, customers: int, parent: float, discount: float) -> tuple[float, int]:
+    """(factor on a new table's weight when so many are seated, customers up to which it holds).
+
+    A table takes `discount` from all customers to come, so the conditional opens fewer early tables than the sequential
+    rule: by about (seated / customers) ** (discount * (1 - parent)), which is held constant between powers of two.
+    """
+    low = 1 << (seated.bit_length() - 1)
+    return min(1.0, 1.5 * low / customers) ** (discount * (1 - parent)), min(2 * low, customers)
+
+
+def path_of(rng: np.random.Generator, customers: int, parent: float, others: float, discount: float, opened: list[int] | None = None, seated: int = 1) -> list[int]:
+    """A proposal: the customers that open a table, counted from 1, when customers sit down one by one after those seated."""
+    out = list(opened or [1])
+    while seated < customers:
+        factor, limit = _damped(seated, customers, parent, discount)
+        new = max((CONCENTRATION + discount * (others + len(out))) * parent * factor, 1e-300)
+        p = rng.beta(new, seated - discount * len(out))
+        wait = math.log(1.0 - rng.random()) / math.log1p(-p) if 1e-300 < p < 1 else 0.0 if p >= 1 else math.inf
+        if wait >= limit - seated:
+            seated = limit
+        else:
+            seated += int(wait) + 1
+            out.append(seated)
+    return out
+
+
+def path_weight(path: list[int], customers: int, parent: float, others: float, discount: float) -> float:
+    """Logarithm of a path's weight in the conditional over its probability as a proposal."""
+    out = 0.0
+    for t, (a, b) in enumerate(zip(path, [*path[1:], customers], strict=True), 1):
+        new = (CONCENTRATION + discount * (others + t)) * parent
+        while a < b:
+            factor, limit = _damped(a, customers, parent, discount)
+            x, to = new * factor - discount * t, min(b, limit)
+            out += math.lgamma(x + to) - math.lgamma(x + a)
+            a = to
+            last = factor
+        if t < len(path):
+            out -= math.log(last)
+    return out
+
 
+class Seats:
+    """Tables of dishes, and for those of more than EXACT customers the path that led to them."""
 
-def seat(rng: np.random.Generator, customers: np.ndarray, parent: np.ndarray, others: np.ndarray, discount: float) -> np.ndarray:
-    """Tables of each dish after its customers sat down again.
+    def __init__(self, tables: np.ndarray, customers: np.ndarray, paths: np.ndarray, exact: int = EXACT) -> None:
+        self.tables, self.customers, self.paths = tables, customers, paths
+        large = np.flatnonzero(customers > exact)
+        ends = np.cumsum(tables[large])
+        self.path = {int(i): paths[e - t : e].tolist() for i, e, t in zip(large.tolist(), ends.tolist(), tables[large].tolist(), strict=True)}
 
-    parent: the dish's probability in the parent; others: tables of the restaurant that serve other dishes.
+
+def first_seats(customers: np.ndarray, exact: int = EXACT) -> Seats:
+    return Seats(np.minimum(customers, 1).astype(np.int64), customers, np.ones(int((customers > exact).sum()), np.int64), exact)
+
+
+def seat(key: tuple[int, ...], names: tuple[np.ndarray, ...], customers: np.ndarray, old: Seats, parent: np.ndarray, others: np.ndarray, discount: float, exact: int = EXACT) -> Seats:
+    """The seating of each dish after its customers sat down again.
+
+    key and names (arrays) seed the draws; parent: the dish's probability in the parent; others: tables of the restaurant
+    that serve other dishes. old: the seating before, of as many customers or of others: customers that have come sit down
+    behind those of old, and those that have gone are the last of them.
     """
     tables = np.minimum(customers, 1).astype(np.int64)
-    at = np.flatnonzero(customers > 1)
-    n, seated = customers[at].astype(np.float64), np.ones(len(at))
-    while len(at):
-        t = tables[at].astype(np.float64)
-        new = (CONCENTRATION + discount * (others[at] + t)) * parent[at]
-        p = rng.beta(np.maximum(new, 1e-12), seated - discount * t)
-        with np.errstate(divide="ignore"):
-            wait = np.floor(np.log(rng.random(len(at))) / np.log1p(-np.clip(p, 1e-300, 1 - 1e-16)))
-        seated = seated + wait + 1
-        go = seated <= n
-        at, n, seated = at[go], n[go], seated[go]
-        tables[at] += 1
-    return tables
+    some = np.flatnonzero((customers > 1) & (customers <= exact))
+    if len(some):
+        u = (mixed(*key, *(x[some] for x in names)) >> np.uint64(11)).astype(np.float64) / 2.0**53
+        tables[some] = exact_tables(u, customers[some], parent[some], others[some], discount)
+    paths = []
+    for i in np.flatnonzero(customers > exact).tolist():
+        rng = np.random.default_rng([*key, *(int(x[i]) for x in names)])
+        c, p, o = int(customers[i]), float(parent[i]), float(others[i])
+        new = path_of(rng, c, p, o, discount)
+        if (was := old.path.get(i)) is not None:
+            was, seated = [k for k in was if k <= c], int(old.customers[i])
+            if seated < c:
+                was = path_of(rng, c, p, o, discount, was, seated)
+            if math.log(1.0 - rng.random()) > path_weight(new, c, p, o, discount) - path_weight(was, c, p, o, discount):
+                new = was
+        tables[i] = len(new)
+        paths += new
+    return Seats(tables, customers, np.array(paths, np.int64), exact)
 
 
 class Graph:
@@ -283,7 +415,7 @@ def joined(items: list[dict], kind: str, other: int | None = None) -> np.ndarray
     return np.concatenate([unpack(p)[0].astype(np.int64) for _, p in parts]) if parts else np.zeros(0, np.int64)
 
 
-def context_counts(graphs: DataFrame, n: int, begins: int) -> DataFrame:
+def context_counts(graphs: DataFrame, m: int, begins: int) -> DataFrame:
     """Kind C, for word buckets: training counts of their contexts. Kind U, for context buckets: who asked for which."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,7 +423,7 @@ def context_counts(graphs: DataFrame, n: int, begins: int) -> DataFrame:
             for r in batch.to_pylist():
                 g, out = Graph(r["payload"]), []
                 for kind, hashes, counts in (("R", g.contexts, None), ("W", g.words, g.word_counts)):
-                    to = bucket_of(hashes, n)
+                    to = bucket_of(hashes, m)
                     for own in np.split(np.arange(len(to)), np.flatnonzero(np.diff(to)) + 1):
                         if len(own):
                             out.append((kind, int(to[own[0]]), r["bucket"], len(own), 0, pack(hashes[own], *([] if counts is None else [narrow(counts[own])]))))
@@ -316,28 +448,31 @@ def context_counts(graphs: DataFrame, n: int, begins: int) -> DataFrame:
     return graphs.mapInArrow(ask, SCHEMA).groupBy("bucket").applyInArrow(tidy(answer), SCHEMA)
 
 
-def split_by_context(g: Graph, n: int, values: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    to = bucket_of(g.contexts, n)
+def split_by_context(g: Graph, m: int, values: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    to = bucket_of(g.contexts, m)
     return [(int(to[own[0]]), values[own]) for own in np.split(np.arange(len(to)), np.flatnonzero(np.diff(to)) + 1) if len(own)]
 
 
-def state_rows(bucket: int, sweep: int, g: Graph, n: int, tables: np.ndarray, parent_tables: np.ndarray, split: np.ndarray) -> list[tuple]:
+def state_rows(bucket: int, sweep: int, g: Graph, m: int, below: Seats, parent: Seats, split: np.ndarray) -> list[tuple]:
     """Kind S: the bucket's seating; P: tables of its contexts, for the context buckets; H: tables of split words; T: totals."""
-    by_word = np.bincount(g.word, tables, len(g.words)).astype(np.int64)
-    by_context = np.bincount(g.context, tables, len(g.contexts)).astype(np.int64)
-    out = [("S", bucket, sweep, 0, 0, pack(narrow(tables), narrow(parent_tables))), ("T", bucket, sweep, int(tables.sum()), int(parent_tables[~split].sum()), None)]
+    by_word = np.bincount(g.word, below.tables, len(g.words)).astype(np.int64)
+    by_context = np.bincount(g.context, below.tables, len(g.contexts)).astype(np.int64)
+    state = pack(*(narrow(x) for x in (below.tables, below.paths, parent.tables, parent.customers, parent.paths)))
+    out = [("S", bucket, sweep, 0, 0, state), ("T", bucket, sweep, int(below.tables.sum()), int(parent.tables[~split].sum()), None)]
     out += [("H", bucket, int(g.words[i].view(np.int64)), int(by_word[i]), 0, None) for i in np.flatnonzero(split).tolist()]
-    return out + [("P", k, bucket, len(v), 0, pack(narrow(v))) for k, v in split_by_context(g, n, by_context)]
+    return out + [("P", k, bucket, len(v), 0, pack(narrow(v))) for k, v in split_by_context(g, m, by_context)]
 
 
-def first_seating(graphs: DataFrame, deal: Deal) -> DataFrame:
+def first_seating(graphs: DataFrame, deal: Deal, m: int) -> DataFrame:
     """One table for each dish of each restaurant."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
                 g = Graph(r["payload"])
-                yield rows(state_rows(r["bucket"], 0, g, deal.n, np.minimum(g.counts, 1), np.minimum(g.word_counts, 1), np.isin(g.words, deal.words)))
+                below = first_seats(g.counts)
+                by_word = np.bincount(g.word, below.tables, len(g.words)).astype(np.int64)
+                yield rows(state_rows(r["bucket"], 0, g, m, below, first_seats(by_word), np.isin(g.words, deal.words)))
 
     return graphs.mapInArrow(run, SCHEMA)
 
@@ -380,29 +515,38 @@ class Whole:
         return (below - self.parent_discount * own + (CONCENTRATION + self.parent_discount * self.parent_tables) / (self.vocabulary + 1)) / (CONCENTRATION + self.tables)
 
 
-def resume(items: list[dict], sweep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(tables, parent tables, tables of the contexts) of a bucket after a sweep."""
-    tables, parent = unpack(next(r["payload"] for r in items if r["kind"] == "S" and r["other"] == sweep))
-    return tables.astype(np.int64), parent.astype(np.int64), joined(items, "Q", sweep)
+def resume(items: list[dict], sweep: int, g: Graph) -> tuple[Seats, Seats, np.ndarray]:
+    """(seating, parent's seating, tables of the contexts) of a bucket after a sweep."""
+    tables, paths, parent, customers, parent_paths = (x.astype(np.int64) for x in unpack(next(r["payload"] for r in items if r["kind"] == "S" and r["other"] == sweep)))
+    return Seats(tables, g.counts, paths), Seats(parent, customers, parent_paths), joined(items, "Q", sweep)
 
 
-def sweep_once(graphs: DataFrame, before: DataFrame, deal: Deal, whole: Whole, sweep: int, seed: int) -> DataFrame:
+def sweep_once(graphs: DataFrame, before: DataFrame, deal: Deal, m: int, whole: Whole, sweep: int, seed: int) -> DataFrame:
     """A new seating of everybody, given the one before (kinds S and Q)."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         (r,) = left.to_pylist()
-        g, (tables, parent_tables, context) = Graph(r["payload"]), resume(right.to_pylist(), sweep - 1)
-        rng = np.random.default_rng([seed, sweep, r["bucket"]])
-        p = whole.parent(g, tables, parent_tables)
-        new = seat(rng, g.counts, p[g.word], context[g.context] - tables, whole.discount)
-        by_word = np.bincount(g.word, new, len(g.words)).astype(np.int64)
-        base = np.full(len(g.words), 1 / (whole.vocabulary + 1))
-        parent_new = seat(rng, by_word, base, np.maximum(whole.parent_tables - parent_tables, 0), whole.parent_discount)
-        return pa.Table.from_batches([rows(state_rows(r["bucket"], sweep, g, deal.n, new, parent_new, np.isin(g.words, deal.words)))])
+        g = Graph(r["payload"])
+        old, old_parent, context = resume(right.to_pylist(), sweep - 1, g)
+        p = whole.parent(g, old.tables, old_parent.tables)
+        new = seat((seed, sweep, 0), (g.words[g.word], g.contexts[g.context]), g.counts, old, p[g.word], context[g.context] - old.tables, whole.discount)
+        by_word = np.bincount(g.word, new.tables, len(g.words)).astype(np.int64)
+        parent = parent_seats(seed, sweep, g.words, by_word, old_parent, whole)
+        return pa.Table.from_batches([rows(state_rows(r["bucket"], sweep, g, m, new, parent, np.isin(g.words, deal.words)))])
 
     return graphs.groupBy("bucket").cogroup(before.groupBy("bucket")).applyInArrow(tidy(run), SCHEMA)
 
 
+def parent_seats(seed: int, sweep: int, words: np.ndarray, customers: np.ndarray, old: Seats, whole: Whole) -> Seats:
+    base = np.full(len(words), 1 / (whole.vocabulary + 1))
+    return seat((seed, sweep, 1), (words,), customers, old, base, np.maximum(whole.parent_tables - old.tables, 0), whole.parent_discount)
+
+
+def predictive(counts: np.ndarray, tables: np.ndarray, context_counts: np.ndarray, context_tables: np.ndarray, parent: np.ndarray, discount: float) -> np.ndarray:
+    """Probability of a word after a context, by the word's customers and tables there and by its probability in the parent."""
+    return (np.maximum(counts - discount * tables, 0) + (CONCENTRATION + discount * context_tables) * parent) / (CONCENTRATION + context_counts)
+
+
 def text_scores(parts: DataFrame, kept: DataFrame, wholes: dict[int, Whole], tokens: int, split_counts: dict[int, int]) -> DataFrame:
     """Kind F: sums over the tokens of a bucket for the documents of a block. parts: kinds G and K; kept: C, S and Q."""
     vocabulary = next(iter(wholes.values())).vocabulary
@@ -413,9 +557,8 @@ def text_scores(parts: DataFrame, kept: DataFrame, wholes: dict[int, Whole], tok
         counts = joined(sent, "C")
         p = np.zeros(len(g.word))
         for sweep, whole in wholes.items():
-            tables, parent_tables, context = resume(sent, sweep)
-            of = np.maximum(g.counts - whole.discount * tables, 0) + (CONCENTRATION + whole.discount * context[g.context]) * whole.parent(g, tables, parent_tables)[g.word]
-            p += of / (CONCENTRATION + counts[g.context])
+            below, parent, context = resume(sent, sweep, g)
+            p += predictive(g.counts, below.tables, counts[g.context], context[g.context], whole.parent(g, below.tables, parent.tables)[g.word], whole.discount)
         score = np.log10(p / len(wholes))
         c = g.word_counts.copy()
         for w, total in split_counts.items():
@@ -457,78 +600,58 @@ def by_document(parts: DataFrame, tokens: int) -> DataFrame:
     return parts.groupBy("other").applyInArrow(tidy(run), RESULT)
 
 
-def frequent_words(docs: DataFrame, n: int) -> dict[int, int]:
-    """Words of more than a bucket's share of the tokens -> buckets to deal them to, from at most PROBE_DOCS documents."""
-    ids = docs.where(F.col("doc_id").isNotNull()).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(PROBE_DOCS)
-    probe = docs.join(F.broadcast(stored(ids, "probe").withColumnRenamed("doc_id", "_p")), F.col("doc_id") == F.col("_p")).select("text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                words, ends = words_of(batch.column(0))
-                h, c = np.unique(words, return_counts=True)
-                few = c * n * 4 >= len(words)  # a word of a bucket's share overall has a quarter of it in some batch, or is none
-                yield pa.RecordBatch.from_arrays([pa.array([0, *h[few].view(np.int64).tolist()]), pa.array([len(words) + len(ends), *c[few].tolist()])], names=["h", "c"])
-
-    found = probe.mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
-    total = found.where("h = 0").select("c").first()
-    if total is None:
-        return {}
-    most = found.where((F.col("h") != 0) & (F.col("c") * n > F.lit(total.c))).collect()  # n rows at most
-    return {int(np.int64(r.h).view(np.uint64)): -(-r.c * n // total.c) for r in most}
-
-
 def _discount(once: int, twice: int) -> float:
     return min(0.95, max(0.05, once / (once + 2 * twice))) if once + twice else 0.5
 
 
-def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sweeps: int = SWEEPS, burn_in: int = BURN_IN, seed: int = 1, buckets: int | None = None) -> DataFrame:
+def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sweeps: int = SWEEPS, burn_in: int = BURN_IN, seed: int = 1, buckets: int | None = None, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """The model of the training documents, applied to all: RESULT and perplexity, 10 ** (-score / n_tokens).
 
     The end of a text is a token, so a null or empty text has a perplexity too; it is null only where n_tokens is 0.
     """
-    spark = docs.sparkSession
     d = texts(docs, id_col, text_col)
     size = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = buckets or max(1, min(partitions(spark), -(-size // BUCKET_BYTES)))
-    deal = Deal(n, frequent_words(d, n))
-    tables = stored(merged(blocks(d, deal), deal), "py-buckets", partition_by="kind").select(*NAMES)
+    n = buckets or max(1, -(-size // bucket_bytes))
+    m = -(-n // 4)
     kind = lambda df, *k: df.where(F.col("kind").isin(*k))
-    graphs = kind(tables, "G")
-    sums = {r.kind: (r.a, r.b) for r in kind(tables, "G", "N", "M", "D").groupBy("kind").agg(F.sum("n1").alias("a"), F.sum("n2").alias("b")).collect()}
-    split = {r.other: (r.a, r.b) for r in kind(tables, "H").groupBy("other").agg(F.sum("n1").alias("a"), F.sum("n2").alias("b")).collect()}  # n rows at most
     unsigned = lambda x: int(np.int64(x).view(np.uint64))
+    written = stored(blocks(d, n), "py-blocks", partition_by="kind")
+    cut = written.select(*NAMES)
+    every, begins = (x or 0 for x in kind(cut, "T", "D").agg(F.sum(F.when(F.col("kind") == "T", F.col("n1"))), F.sum("n2")).first())
+    often = kind(cut, "H").groupBy("other").agg(F.sum("n1").alias("a")).where(F.col("a") * (2 * n) > every).collect()  # 2 n rows at most
+    deal = Deal(n, {unsigned(r.other): min(n, -(-2 * r.a * n // every)) for r in often} if n > 1 else {})
+    tables = stored(merged(dealt(kind(cut, "T"), deal), deal), "py-buckets", partition_by="kind").select(*NAMES)
+    discard(written, part="kind=T")
+    graphs = kind(tables, "G")
+    sums = {r.kind: (r.a, r.b) for r in kind(tables, "G", "N", "M").groupBy("kind").agg(F.sum("n1").alias("a"), F.sum("n2").alias("b")).collect()}
+    split = {r.other: (r.a, r.b) for r in kind(tables, "H").groupBy("other").agg(F.sum("n1").alias("a"), F.sum("n2").alias("b")).collect()}  # 2 n rows at most
     tokens, vocabulary = sums.get("G", (0, 0))
     vocabulary += sum(c > 0 for c, _ in split.values())
-    discounts = _discount(*sums.get("N", (0, 0))), _discount(*sums.get("M", (0, 0)))
-    totals = stored(context_counts(graphs, n, sums.get("D", (0, 0))[1]), "py-contexts", partition_by="kind").select(*NAMES)
-    rng = np.random.default_rng([seed, 0])
-    parent_split: dict[int, int] = {}
+    discounts = _discount(*sums.get("N", (0, 0))), _discount(*(x + sum(f == k for _, f in split.values()) for k, x in enumerate(sums.get("M", (0, 0)), 1)))
+    totals = stored(context_counts(graphs, m, begins), "py-contexts", partition_by="kind").select(*NAMES)
+    words = np.array(sorted(unsigned(w) for w in split), np.uint64)
+    above = first_seats(np.zeros(0, np.int64))
     wholes: dict[int, Whole] = {}
     kept = kind(totals, "C")
-    state = answers = None
+    state = seated = answers = None
     for sweep in range(sweeps + 1):
-        if sweep == 0:
-            new = first_seating(graphs, deal)
-        else:
-            new = sweep_once(graphs, kind(state, "S").unionByName(answers), deal, wholes[sweep - 1], sweep, seed)
-        state = stored(new, "py-state", partition_by="kind").select(*NAMES)
+        new = first_seating(graphs, deal, m) if sweep == 0 else sweep_once(graphs, kind(state, "S").unionByName(answers), deal, m, wholes[sweep - 1], sweep, seed)
+        last, seated = (seated, answers), stored(new, "py-state", partition_by="kind")
+        state = seated.select(*NAMES)
         answers = stored(context_tables(kind(totals, "U"), kind(state, "P"), sweep), "py-tables")
+        discard(seated, part="kind=P")
+        if sweep <= burn_in + 1:
+            discard(*last)
         t, p = (x or 0 for x in kind(state, "T").agg(F.sum("n1"), F.sum("n2")).first())
         below = {unsigned(r.other): r.a for r in kind(state, "H").groupBy("other").agg(F.sum("n1").alias("a")).collect()}
-        if sweep == 0:
-            parent_split = {w: int(c > 0) for w, c in below.items()}
-        elif below:
-            words = sorted(below)
-            base = np.full(len(words), 1 / (vocabulary + 1))
-            old = np.array([parent_split[w] for w in words])
-            seats = seat(rng, np.array([below[w] for w in words]), base, np.maximum(wholes[sweep - 1].parent_tables - old, 0), discounts[1])
-            parent_split = dict(zip(words, seats.tolist(), strict=True))
-        wholes[sweep] = Whole(discounts, vocabulary, t, p + sum(parent_split.values()), {w: (c, parent_split[w]) for w, c in below.items()})
+        customers = np.array([below[int(w)] for w in words], np.int64)
+        above = first_seats(customers) if sweep == 0 else parent_seats(seed, sweep, words, customers, above, wholes[sweep - 1])
+        own = dict(zip(words.tolist(), zip(customers.tolist(), above.tables.tolist(), strict=True), strict=True))
+        wholes[sweep] = Whole(discounts, vocabulary, t, p + int(above.tables.sum()), own)
         if sweep > burn_in:
             kept = kept.unionByName(kind(state, "S")).unionByName(answers)
     scores = text_scores(kind(tables, "G", "K"), kept, {k: v for k, v in wholes.items() if k > burn_in}, tokens, {unsigned(w): c for w, (c, _) in split.items()})
-    found = by_document(kind(tables, "D").unionByName(scores), tokens)
+    found = by_document(kind(cut, "D").unionByName(scores), tokens)
     return found.withColumn("perplexity", F.when(F.col("n_tokens") > 0, F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens"))))
 
 

@@ -1,9 +1,7 @@
-"""Queries of this subpackage and their SQL."""
+"""Queries of this subpackage and their SQL. The entry point adds the pipeline, which stands at the repository's top."""
 
 from __future__ import annotations
 
-import corpus_pipeline
-
 from . import line_dedup
 from .byte_bpe import op3_byte_bpe
 from .packing import op7_best_fit_packing
@@ -26,7 +24,6 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_token_files": op9_token_files,
     "op10_quality_rules": op10_quality_rules,
-    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {"op2_line_dedup": line_dedup.ORACLE}

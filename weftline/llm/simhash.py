@@ -5,8 +5,8 @@ documents get the smallest id that links can reach.
 
 Only distinct fingerprints are compared. A fingerprint is cut into radius + 1 stretches, one of which must agree between
 any two that link, so it is sent once for each stretch. Groups that share a stretch and have more than `GROUP` members are
-cut again along the bits that may still differ, as often as needed; each cut fixes more bits, so groups end at a proven
-size, and nothing is capped. Within a task, groups stand one after another as 64 vertical bit planes, and every
+cut again along the bits that may still differ, which each row carries as a mask; each cut fixes more bits, so groups end
+at a proven size, and nothing is capped. Within a task, groups stand one after another as 64 vertical bit planes, and every
 member is compared with the one `shift` places on, 64 pairs to a machine word: plane by plane, differences go into
 carry-save counters, and words whose pairs have all exceeded the radius are abandoned. Of a group's links only a
 spanning forest is kept, so rows never grow with the square of a group.
@@ -22,10 +22,10 @@ empty result; further columns are not looked at.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import carried, map_batches, partitions, ready, stored, table, texts
+from .common import discard, map_batches, partitions, ready, row_key, settings, spread, stored, table, texts
 from .near_copies import near_copies
 
 SHINGLE = 3
@@ -137,27 +137,37 @@ def sliced_links(values: np.ndarray, sizes: np.ndarray, radius: int = RADIUS, bl
     return forest
 
 
-def _cut(fp: Column, free: list[int], pieces: int) -> list[tuple[list[int], Column]]:
-    """Stretches of the free bits: (bits that stay free, value of the stretch)."""
-    bounds = [len(free) * i // pieces for i in range(pieces + 1)]
-    out = []
-    for a, b in zip(bounds, bounds[1:], strict=False):
-        mask = sum(1 << i for i in free[a:b])
-        out.append((free[:a] + free[b:], fp.bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask).cast("long"))))
-    return out
+def stretches(mask: int, parts: int) -> list[int]:
+    """The set bits of a mask in so many runs of about the same number of bits, as masks."""
+    bits = [i for i in range(64) if mask >> i & 1]
+    bounds = [len(bits) * i // parts for i in range(parts + 1)]
+    return [sum(1 << i for i in bits[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
 
 
-def _sends(members: DataFrame, plans: dict[str, list[int]], radius: int) -> tuple[DataFrame, dict[str, list[int]]]:
-    """Each member once for each stretch of its group's free bits; `grp` names the group, `plan` its free bits."""
-    new: dict[str, list[int]] = {}
-    options = []
-    for plan, free in plans.items():
-        for k, (rest, value) in enumerate(_cut(F.col("fp"), free, radius + 1)):
-            name = f"{plan}{k}"
-            new[name] = rest
-            options.append(F.when(F.col("plan") == plan, F.struct(F.lit(name).alias("plan"), value.alias("value"))))
-    sent = members.select("fp", "grp", F.explode(F.array_compact(F.array(*options))).alias("x"))
-    return sent.select("fp", F.col("x.plan").alias("plan"), F.xxhash64("grp", "x.plan", "x.value").alias("grp")), new
+def _sends(members: DataFrame, radius: int) -> DataFrame:
+    """Each member once for each stretch of its group's free bits. members: (fp, grp, free), free as a mask."""
+
+    def make():
+        import pyarrow as pa
+        import xxhash
+
+        def work(batch):
+            fp, grp, free = (batch.column(i).to_numpy().view(np.uint64) for i in range(3))
+            out: list[list[np.ndarray]] = [[], [], []]
+            for mask in np.unique(free).tolist():
+                own = np.flatnonzero(free == mask)
+                for part in stretches(mask, radius + 1):
+                    # A group's name is a digest of its parent's name, of the stretch and of the stretch's value.
+                    key = np.stack([grp[own], np.full(len(own), part, np.uint64), fp[own] & np.uint64(part)], axis=1)
+                    distinct, which = np.unique(key, axis=0, return_inverse=True)
+                    name = np.array([xxhash.xxh64_intdigest(k.tobytes(), SEED) for k in distinct], np.uint64)
+                    for column, v in zip(out, (fp[own], name[which.ravel()], np.full(len(own), mask & ~part, np.uint64)), strict=True):
+                        column.append(v)
+            return [pa.array(np.concatenate(c).view(np.int64)) for c in out]
+
+        return work
+
+    return map_batches(members.select("fp", "grp", "free"), make, "fp long, grp long, free long", 20_000)
 
 
 def local_forests(members: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -192,50 +202,50 @@ def local_forests(members: DataFrame, radius: int = RADIUS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in work(held)], names=["a", "b"])
 
     dealt = members.select("fp", "grp").repartition(partitions(spark), "grp").sortWithinPartitions("grp", "fp")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
-    try:
+    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch="20000"):
         return stored(dealt.mapInArrow(whole_groups, "a long, b long").distinct(), "edges")
-    finally:
-        ready(spark)
 
 
 def link_edges(distinct: DataFrame, radius: int = RADIUS, group: int = GROUP) -> DataFrame:
     """Edges that connect exactly the fingerprints that links connect. distinct: a stored table (fp)."""
-    members, plans = _sends(distinct.select("fp", F.lit("").alias("plan"), F.lit(0).cast("long").alias("grp")), {"": list(range(64))}, radius)
-    edges = None
+    members = _sends(distinct.select("fp", F.lit(0).cast("long").alias("grp"), F.lit(-1).cast("long").alias("free")), radius)
+    edges, free = None, 64
     while True:
         members = stored(members, "members")
+        free -= free // (radius + 1)  # bits that are free now, at most
         sizes = stored(members.groupBy("grp").agg(F.count("*").alias("n")).where(F.col("n") > 1), "groups")
         large = sizes.where(F.col("n") > group)
-        few_bits = max(len(v) for v in plans.values()) <= 11  # then a group has at most `group` members
-        again = not few_bits and not large.isEmpty()
+        again = free > 11 and not large.isEmpty()  # with 11 free bits a group has 2,048 members at most
         fit = sizes.where(F.col("n") <= group) if again else sizes
         found = local_forests(members.join(fit.select("grp"), "grp"), radius)
         edges = found if edges is None else edges.unionByName(found)
         if not again:
             return edges
-        members, plans = _sends(members.join(large.select("grp"), "grp"), plans, radius)
+        members = _sends(members.join(large.select("grp"), "grp"), radius)
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node that edges (a, b) can reach, for all nodes with an edge.
 
     Each round links every node's larger neighbours, then its smaller ones, to its smallest neighbour, until nothing
-    changes.
+    changes, by count and checksum. A round deals rows by node; there are as many tasks as the edges need.
     """
     e = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links")
+    state = lambda x: tuple(x.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first())
+    now = state(e)
     while True:
-        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = spread(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))), 2 * now[0], "a")
         # Larger neighbours of a node go to its smallest neighbour, itself included.
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        big = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        big = spread(both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")), now[0], "a").distinct()
         # A node and its smaller neighbours go to the smallest of them.
         low = big.groupBy("a").agg(F.min("b").alias("m"))
-        small = big.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").unionByName(low.select("a", F.col("m").alias("b"))).distinct()
-        new = stored(small, "links")
-        changed = new.count() != e.count() or not new.exceptAll(e).isEmpty()
+        small = big.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").unionByName(low.select("a", F.col("m").alias("b")))
+        new = stored(spread(small, 2 * now[0], "a").distinct(), "links")
+        was, now = now, state(new)
+        discard(e)
         e = new
-        if not changed:
+        if now == was:
             return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
@@ -257,10 +267,16 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies (five-word shingles, Jaccard similarity of 0.8): the one of the
-    smallest id; rows that share an id are one, rows without id stay."""
+    """One document of each component of near copies (five-word shingles, Jaccard similarity of 0.8).
+
+    It is the one of the smallest id; of several texts under that id, the one of the least MD5; a null id comes after all
+    others. Rows of the same id and text are one document, of which the least row in JSON stays. Rows of one id and
+    different texts are documents each: only what is near to another goes.
+    """
     ready(spark)
-    least = near_copies(docs).where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("least")).distinct()
-    rows = carried(docs, "doc_id")
-    kept = rows.join(least, F.col("doc_id") == F.col("least"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(rows.where(F.col("doc_id").isNull())).select("_row.*")
+    found = near_copies(docs)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))
+    kept = found.groupBy("component").agg(first.alias("x")).select(F.col("x.key").alias("kept"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), row_key(F.col("doc_id"), F.col("text")).alias("_key"))
+    rows = rows.groupBy("_key").agg(F.min_by("_row", F.to_json("_row")).alias("_row"))
+    return rows.join(kept, F.col("_key") == F.col("kept"), "left_semi").select(*[F.col(f"_row.`{c}`") for c in docs.columns])

@@ -9,7 +9,9 @@ together, one id a step, by a table of 2**LIMIT entries.
 The blocks are the binary rows of a Parquet table, so Spark's commit protocol makes them safe against lost executors.
 
 Edge cases: null or empty text is the end token alone; null ids sort first; rows that share an id follow each other in
-the order of their texts; an empty table gives no blocks; further columns are not looked at.
+the order of their first 64 characters (of the whole texts within a shard), and may stand in several shards, so an id that
+many rows share is no hot shard; a text of any length is one document of one block; an empty table gives no blocks;
+further columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, partitions, ready, stored, table, texts
+from .common import discard, map_batches, partitions, pieces_of, ready, stored, table, texts
 from .encoders import encoder
 
 VOCABULARY = "word_bpe_49k.json"
@@ -112,15 +114,14 @@ class Codes:
 def sorted_ids(docs: DataFrame, path: str, kind: str = "word", end: int = END, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Runs of encoded documents in ascending order of id; `before` counts the ids of the shard ahead of a run."""
     spark = docs.sparkSession
-    ordered = texts(docs, id_col, text_col).repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text")
+    d = texts(docs, id_col, text_col).withColumn("head", F.left("text", F.lit(64))).withColumn("spot", F.xxhash64(F.monotonically_increasing_id()))
+    ordered = d.repartitionByRange(partitions(spark), "doc_id", "head", "spot").sortWithinPartitions("doc_id", "text").select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         enc, shard, before = encoder(kind, path), TaskContext.get().partitionId(), 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (x for whole in batches for x in pieces_of(whole)):
             got, doc = enc.encode(batch.column(1)), batch.column(0)
             ids = np.insert(got.ids, got.ends, end)
             parts = [
@@ -170,7 +171,7 @@ def write_blocks(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
         return work
 
-    blocks = stored(map_batches(runs.select("shard", "before", "n_ids", "docs", "empty", "lens", "ids"), make, "shard int, before long, n_ids long, block binary"), "blocks", codec="none")
+    blocks = stored(map_batches(runs.select("shard", "before", "n_ids", "docs", "empty", "lens", "ids"), make, "shard int, before long, n_ids long, block binary", 8), "blocks", codec="none")
     book = stored(spark.createDataFrame([(LIMIT, lengths.tobytes())], "max_bits int, lengths binary"), "codebook")
     return blocks, book
 
@@ -211,10 +212,12 @@ def read_blocks(blocks: DataFrame, book: DataFrame) -> DataFrame:
 
         return work
 
-    return map_batches(blocks.select("shard", "block"), make, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return map_batches(blocks.select("shard", "block"), make, "doc_id long, start long, n_tokens long, ids_crc32 long", 8)
 
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     runs = stored(sorted_ids(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY)), "runs")
-    return read_blocks(*write_blocks(runs))
+    files = write_blocks(runs)
+    discard(runs)
+    return read_blocks(*files)

@@ -1,17 +1,21 @@
 """Toxicity by a weighted lexicon.
 
-Texts are folded (case, accents, look-alike letters, digits and signs standing for letters before another letter), and
-an Aho-Corasick automaton finds the lexicon's words and word beginnings. Hits within an exception phrase don't count.
+Texts are folded (case, accents, look-alike letters, digits and signs standing for letters before another letter, or after
+one at the end of a word, where ! and | are taken for punctuation), and an Aho-Corasick automaton finds the lexicon's words and word beginnings. Hits within an exception phrase don't count.
 The sum of weights, and the sum for each hundred words, give the score by a logistic curve.
 
 The lexicon is learned: words and word beginnings that are far more frequent in toxic than in other labelled documents,
 counted once a document on a bounded sample (`TOXIC_ROWS` and `OTHER_ROWS`, those of the lowest xxhash64 of doc_id) of rows
-whose crc32(doc_id) mod 3 is not 1. At most `PATTERNS` patterns are kept, the most significant ones. `EXTRA` adds words
-with a weight of their own. Labels are used for nothing else, and language, source and id never enter a score.
-
-Edge cases: null and empty texts have no hits and get the score of such texts; without labels of both kinds only EXTRA
-counts, on a fixed curve; an empty table gives an empty result; repeated rows are scored each; null ids count as not
-held out and are never learned from.
+whose crc32(doc_id) mod 3 is not 1. A fifth of the sample, by another digest of doc_id, is kept from the lexicon and fits
+the curve, so the curve never sees a text whose words were chosen because of it. At most `PATTERNS` patterns are kept, the
+most significant ones; on sf0.1 and check_l the sample yields fewer, so the bound takes nothing away there. `EXTRA` adds
+words with a weight of their own. Labels are used for nothing else, and language, source and id never enter a score.
+
+Edge cases: null and empty texts have no hits and get the score of such texts; a text of any length is matched whole;
+without labels of both kinds only EXTRA counts, on a fixed curve; patterns of equal significance are taken in
+alphabetical order; an empty table gives an empty result; repeated rows are scored each, and count once each where they
+are learned from; null ids count as not held out and are never learned from; further columns, whatever their names, are
+not looked at.
 """
 
 from __future__ import annotations
@@ -43,7 +47,7 @@ EXTRA = {"idiot": 3.0, "moron": 3.0, "scum": 3.0, "stupid": 2.0}
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "class clown", "pathetic fallacy", "pond scum", "soap scum")
 
 _WORD = re.compile(r"[^\W\d_]+")
-_SIGNS = re.compile(r"[0134578!|@$]+(?=[^\W\d_])")
+_SIGNS = re.compile(r"[0134578!|@$]+(?=[^\W\d_])|(?<=[^\W\d_])[0134578@$]+(?![^\W_])")
 
 
 class _Fold(dict):
@@ -137,13 +141,13 @@ def held_out(id_col: Column) -> Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(text, toxic): the bounded sample of labelled documents to learn from, as a stored table."""
+    """(text, toxic, tune): the bounded sample of labelled documents to learn from, as a stored table; tune marks the curve's."""
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
     one = usable.groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("toxic"))
     chosen = [one.where(F.col("toxic") == t).orderBy(F.xxhash64("_id"), "_id").limit(n) for t, n in ((1, TOXIC_ROWS), (0, OTHER_ROWS))]
     chosen = stored(chosen[0].unionByName(chosen[1]), "toxic-ids")
     d = docs.select(F.col(id_col).alias("_d"), F.col(text_col).cast("string").alias("text"))
-    return stored(d.join(F.broadcast(chosen), F.col("_d") == F.col("_id")).select("text", F.col("toxic").cast("int").alias("toxic")), "toxic-sample")
+    return stored(d.join(F.broadcast(chosen), F.col("_d") == F.col("_id")).select("text", F.col("toxic").cast("int").alias("toxic"), (F.pmod(F.xxhash64(F.lit("curve"), "_id"), F.lit(5)) == 0).alias("tune")), "toxic-sample")
 
 
 def _features(folded: str) -> Counter:
@@ -198,9 +202,10 @@ def curve(x: np.ndarray, y: np.ndarray, penalty: float = 0.01) -> tuple[float, f
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     rows = sample(docs, labels)
-    patterns = {fold(k): v for k, v in EXTRA.items()} | lexicon(rows)
+    patterns = {fold(k): v for k, v in EXTRA.items()} | lexicon(rows.where("NOT tune").select("text", "toxic"))
     model = Model(patterns, (-3.0, 2.0, 0.5))
-    got = rows.select("toxic", scored(model, F.col("text")).alias("s")).select("toxic", "s.weight", "s.words").orderBy("toxic", "weight", "words").toPandas()  # the bounded sample
+    got = rows.where("tune").select("toxic", scored(model, F.col("text")).alias("s")).select("toxic", "s.weight", "s.words").toPandas()  # of the bounded sample
+    got = got.sort_values(["toxic", "weight", "words"])  # sums in one order
     if got.toxic.nunique() == 2:
         x = np.column_stack([np.log1p(got.weight), np.log1p(100 * got.weight / got.words.clip(lower=1))])
         model = Model(patterns, curve(x, got.toxic.to_numpy(float)))
