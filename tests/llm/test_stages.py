@@ -205,11 +205,12 @@ def test_quality_threshold_follows_the_labels(spark, folder, docs):
     reach = np.percentile([score(r[1]) for r in ROWS if r[0] in tuned and not plain_base(r[1])[5]], 100 * quality_rules.MISSED)
     assert one.threshold == pytest.approx(reach, abs=1e-12) and all(plain_base(r[1])[5] for r in ROWS if 300 <= (r[0] or 0) < 304)
     assert model.threshold == one.threshold  # the documents labelled 0 fail the base rule, so only one kind has scores
-    both = quality_rules.fit(docs, labels.selectExpr("doc_id", "if(doc_id % 2 = 0, 0, 1) quality"))
-    bad = np.percentile([sum(both.first().ratios[x] for x in grams(r[1])) / len(grams(r[1])) for r in ROWS if r[0] in {i for i, _, _ in LABELS if i is not None and i % 2 == 0} and not plain_base(r[1])[5]], 100 * (1 - quality_rules.MISSED))
+    both = quality_rules.fit(docs, labels.selectExpr("doc_id", "if(doc_id % 2 = 0, 0, 1) quality")).first()
+    score = lambda t: (lambda g: sum(both.ratios[x] for x in g) / len(g))(grams(t))
+    bad = np.percentile([score(r[1]) for r in ROWS if r[0] in {i for i, _, _ in LABELS if i is not None and i % 2 == 0} and not plain_base(r[1])[5]], 100 * (1 - quality_rules.MISSED))
     odd = {r.doc_id for r in labels.where(rule.replace("quality = 1", "doc_id % 2 = 1")).collect()}
-    good = np.percentile([sum(both.first().ratios[x] for x in grams(r[1])) / len(grams(r[1])) for r in ROWS if r[0] in odd and not plain_base(r[1])[5]], 100 * quality_rules.MISSED)
-    assert both.first().threshold == pytest.approx((good + bad) / 2, abs=1e-12)
+    good = np.percentile([score(r[1]) for r in ROWS if r[0] in odd and not plain_base(r[1])[5]], 100 * quality_rules.MISSED)
+    assert both.threshold == pytest.approx((good + bad) / 2, abs=1e-12)
 
 
 def test_line_stage(spark, docs):
