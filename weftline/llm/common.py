@@ -169,6 +169,8 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], obj
             for batch in pieces_of(whole, rows):
                 if (cols := work(batch)) is not None:
                     yield pa.RecordBatch.from_arrays([x if isinstance(x, (pa.Array, pa.ChunkedArray)) else pa.array(x) for x in cols], names=names)
+                    del cols
+        relax()
 
     names = [x.strip().split(" ")[0] for x in schema.split(",")]
     return df.mapInArrow(run, schema)
