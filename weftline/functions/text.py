@@ -62,6 +62,11 @@ def fix_dataset(text: Column, dataset: str) -> Column:
     return text
 
 
+def last_line(text: Column) -> Column:
+    """The last line of a text, both stripped of white space."""
+    return strip(F.element_at(F.split(strip(text), "\n"), -1))
+
+
 def words(text: Column) -> Column:
     """Words between white space."""
     return F.array_remove(F.split(text, rf"[{SPACE}]+"), "")

@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftline.functions.text import words
+
 
 def index_map(tokens: list[str], original: list[str]) -> list[int]:
     """For each token the word that it is a part of: words are used up by the characters of tokens."""
@@ -47,6 +49,12 @@ def remap(pairs: Column, src_map: Column, trg_map: Column) -> Column:
     return F.array_distinct(F.transform(pairs, lambda p: F.struct(at(src_map, p["s"]).alias("s"), at(trg_map, p["t"]).alias("t"))))
 
 
+def diagonal(src: Column, trg: Column) -> Column:
+    """A stand-in for an aligner: words of the same number, as far as both texts go, as an array of (s, t)."""
+    n = F.least(F.size(words(src)), F.size(words(trg)))
+    return F.transform(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")), lambda i: F.struct(i.alias("s"), i.alias("t")))
+
+
 def symmetrize(forward: Column, backward: Column, how: str = "intersect") -> Column:
     """Both directions' pairs: intersect, union, or those of the union beside an agreed pair (grow)."""
     both = F.array_intersect(forward, backward)
@@ -58,6 +66,62 @@ def symmetrize(forward: Column, backward: Column, how: str = "intersect") -> Col
     return F.filter(either, lambda p: F.exists(both, lambda q: (F.abs(p["s"] - q["s"]) <= 1) & (F.abs(p["t"] - q["t"]) <= 1)))
 
 
+def grow_diag_final_and(forward: set[tuple[int, int]], backward: set[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The agreed pairs, grown by neighbours of the union that have a word without a pair, then by pairs of the union of
+    which both words have none."""
+    found = forward & backward
+    either = sorted(forward | backward)
+    s, t = {a for a, _ in found}, {b for _, b in found}
+    grew = True
+    while grew:
+        grew = False
+        for a, b in either:
+            if (a, b) in found or (a in s and b in t):
+                continue
+            if any((a + i, b + j) in found for i in (-1, 0, 1) for j in (-1, 0, 1)):
+                found.add((a, b))
+                s.add(a)
+                t.add(b)
+                grew = True
+    for side in (forward, backward):
+        for a, b in sorted(side):
+            if a not in s and b not in t:
+                found.add((a, b))
+                s.add(a)
+                t.add(b)
+    return sorted(found)
+
+
+def grown(df: DataFrame, forward: str, backward: str) -> DataFrame:
+    """df with `alignment`: both directions' '0-1 2-3' joined by grow-diag-final-and."""
+
+    @F.pandas_udf("string")
+    def run(f: pd.Series, b: pd.Series) -> pd.Series:
+        pairs = lambda x: {tuple(map(int, p.split("-"))) for p in (x or "").split()}
+        return pd.Series([" ".join(f"{s}-{t}" for s, t in grow_diag_final_and(pairs(x), pairs(y))) for x, y in zip(f, b, strict=True)])
+
+    return df.withColumn("alignment", run(F.col(forward), F.col(backward)))
+
+
+def concatenated(sentences: DataFrame, by: str, order: str, text: str, gap: str) -> DataFrame:
+    """(by, faithful, spaced): sentences joined by what stood between them in the source, and by a space."""
+    x = sentences.groupBy(by).agg(F.array_sort(F.collect_list(F.struct(order, text, gap))).alias("x"))
+    pieces = F.transform("x", lambda p, i: F.concat(p[text], F.when(i + 1 < F.size("x"), p[gap]).otherwise("")))
+    return x.select(by, F.array_join(pieces, "").alias("faithful"), F.array_join(F.transform("x", lambda p: p[text]), " ").alias("spaced"))
+
+
+def tag_changes(before: Column, after: Column) -> tuple[Column, Column]:
+    """(closed, opened) tags from one stack of open tags to the next: what is beyond their common beginning, closed from within."""
+    same = F.aggregate(F.zip_with(before, after, lambda a, b: a.eqNullSafe(b)), F.struct(F.lit(0).alias("n"), F.lit(True).alias("on")), lambda s, x: F.struct((s["n"] + F.when(s["on"] & x, 1).otherwise(0)).alias("n"), (s["on"] & x).alias("on")), lambda s: s["n"])
+    rest = lambda c: F.slice(c, same + 1, F.greatest(F.size(c) - same, F.lit(0)))
+    return F.reverse(rest(before)), rest(after)
+
+
+def rows_of(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is in a sample of ids."""
+    return df.join(ids.select(key).distinct(), key, "left_semi")
+
+
 class _Text(HTMLParser):
     VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
     BLOCK = frozenset("address article aside blockquote br dd div dl dt footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table td th tr ul title".split())

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.text import corpus_name, search_terms
+from weftline.operators.sample import ranked
 
 #: Parts of names that are skipped.
 SKIPPED = ("CCMatrix", "MultiMaCoCu", "MultiHPLT", "WikiTitles", "swedish_work_environment", "lithuanian_legislation_seimas_lithuania", "ntrex", "SPC", "flores101_dev", "flores101_devtest", "flores200_dev", "flores200_devtest", "WMT-News", "wmt08")
@@ -67,7 +68,42 @@ def language_counts(models: DataFrame) -> DataFrame:
     return x.groupBy("channel").agg(F.count("*").alias("languages"), F.count_if(F.col("n") == 1).alias("only_here"))
 
 
-def by_size(catalog: DataFrame) -> DataFrame:
-    """Largest size class first, then most downloads; `place` counts from 1."""
-    order = Window.partitionBy("group").orderBy(F.desc("size_class"), F.desc("downloads"), "name")
-    return catalog.withColumn("place", F.row_number().over(order))
+def by_size(catalog: DataFrame, name: str = "name") -> DataFrame:
+    """Largest size class first, then most downloads, then by name; `place` counts from 1. Size classes are whole numbers."""
+    return ranked(catalog, -F.col("size_class"), F.desc("downloads"), F.col(name)).withColumn("place", F.col("rank") + 1).drop("rank", "total")
+
+
+def without_tag(df: DataFrame, word: str, tags: str = "tags") -> DataFrame:
+    """Entries of which no tag holds the word."""
+    return df.where(~F.exists(tags, lambda t: t.contains(word)))
+
+
+def language_tags(tags: Column) -> Column:
+    """How many tags name a language."""
+    return F.size(F.filter(tags, lambda t: F.startswith(t, F.lit("language:"))))
+
+
+def news_entries(page: Column) -> Column:
+    """(year, bytes) of the files that an index page links, whose sizes are written with K, M or G."""
+    rows = F.regexp_extract_all(page, F.lit(r"news\.[0-9]{4}\.[^<]*</a>(?:<[^>]*>|\s)*[0-9.]+[KMG]"), F.lit(0))
+    number = lambda r: F.regexp_extract(r, r"([0-9.]+)[KMG]$", 1).cast("double")
+    unit = lambda r: F.when(F.endswith(r, F.lit("K")), 1e3).when(F.endswith(r, F.lit("M")), 1e6).otherwise(1e9)
+    return F.transform(rows, lambda r: F.struct(F.regexp_extract(r, r"news\.([0-9]{4})", 1).cast("long").alias("year"), F.round(number(r) * unit(r)).cast("long").alias("bytes")))
+
+
+def arguments(line: Column) -> Column:
+    """A command's options as a map from name to values: a flag is 'true', and all words behind a name are its values."""
+    parts = F.filter(F.split(F.concat(F.lit(" "), F.trim(line)), r" --"), lambda p: p != "")
+    entry = lambda p: F.struct(F.split_part(p, F.lit(" "), F.lit(1)).alias("key"), F.when(F.instr(p, " ") == 0, F.array(F.lit("true"))).otherwise(F.slice(F.split(p, " +"), F.lit(2), F.size(F.split(p, " +")) - 1)).alias("value"))
+    return F.map_from_entries(F.transform(parts, entry))
+
+
+def merged_config(left: Column, right: Column) -> Column:
+    """Both maps' entries; where both have one, the right one's."""
+    kept = F.map_filter(left, lambda k, _: ~F.map_contains_key(right, k))
+    return F.map_concat(kept, right)
+
+
+def listed(df: DataFrame, name: str, excluded: list[str]) -> DataFrame:
+    """(name): distinct names without those excluded, in order."""
+    return df.select(name).distinct().where(~F.col(name).isin(*excluded)).orderBy(name)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.functions.text import SPACE, count_words, strip
+from weftline.functions.text import SPACE, count_words, norm_key, strip
 
 #: Letters of languages whose share is checked; ours.
 ALPHABETS = {"en": "A-Za-z", "de": "A-Za-zÄÖÜäöüß", "fr": "A-Za-zÀÂÆÇÈÉÊËÎÏÔŒÙÛÜŸàâæçèéêëîïôœùûüÿ", "es": "A-Za-zÁÉÍÑÓÚÜáéíñóúü"}
@@ -14,22 +14,28 @@ MIN_WORDS, MAX_WORDS, WORD_SHARE, CHAR_SHARE = 2, 150, 0.4, 0.5
 URL = r"https?://[^\s]+|www\.[^\s]+"
 
 
-def mono_reason(text: Column, lang: Column) -> Column:
-    """Why a line is dropped, or null: the first of EMPTY, TOO_SHORT, TOO_LONG, RATIO_ALPHA, RATIO_CHARS."""
-    t = strip(text)
-    tokens = F.when(lang.isin(*BY_CHARACTER), F.length(t)).otherwise(count_words(t))
+def mono_reasons(lines: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """lines with `reason`, why a line is dropped, or null: the first of EMPTY, TOO_SHORT, TOO_LONG, RATIO_ALPHA, RATIO_CHARS.
+
+    The stripped text and its counts are projected once each. Letters are counted by what is left when they are removed,
+    and starts of words by what is left of the text when all but the first letter of each word is.
+    """
+    t, n, code = F.col("_t"), F.col("_n"), F.col(lang)
+    d = lines.withColumn("_t", strip(F.col(text)))
+    d = d.withColumn("_n", F.when(code.isin(*BY_CHARACTER), F.length(t)).otherwise(count_words(t)))
     starts, letters = F.lit(None).cast("int"), F.lit(None).cast("int")
-    for code, letter in ALPHABETS.items():
-        starts = F.when(lang == code, F.regexp_count(t, F.lit(rf"(?:^|[{SPACE}])[{letter}]"))).otherwise(starts)
-        letters = F.when(lang == code, F.regexp_count(t, F.lit(f"[{letter}]"))).otherwise(letters)
+    for k, alphabet in ALPHABETS.items():
+        starts = F.when(code == k, F.regexp_count(t, F.lit(rf"(?<![^{SPACE}])[{alphabet}]"))).otherwise(starts)
+        letters = F.when(code == k, F.length(t) - F.length(F.regexp_replace(t, f"[{alphabet}]+", ""))).otherwise(letters)
+    d = d.withColumns({"_starts": F.when((n >= MIN_WORDS) & (n <= MAX_WORDS), starts), "_letters": F.when((n >= MIN_WORDS) & (n <= MAX_WORDS), letters)})
     solid = F.length(F.replace(t, F.lit(" "), F.lit("")))
-    return (
-        F.when(t == "", "EMPTY")
-        .when(tokens < MIN_WORDS, "TOO_SHORT")
-        .when(tokens > MAX_WORDS, "TOO_LONG")
-        .when(starts / tokens < WORD_SHARE, "RATIO_ALPHA")
-        .when(letters / solid < CHAR_SHARE, "RATIO_CHARS")
-    )
+    reason = F.when(t == "", "EMPTY").when(n < MIN_WORDS, "TOO_SHORT").when(n > MAX_WORDS, "TOO_LONG").when(F.col("_starts") / n < WORD_SHARE, "RATIO_ALPHA").when(F.col("_letters") / solid < CHAR_SHARE, "RATIO_CHARS")
+    return d.withColumn("reason", reason).drop("_t", "_n", "_starts", "_letters")
+
+
+def language_ok(df: DataFrame, lang: str, label: Column, text: str = "text") -> DataFrame:
+    """Rows whose detected label ends in the language's two letters; of their text, what stands before a tab."""
+    return df.where(F.right(label, F.lit(2)) == lang).withColumn(text, F.split_part(F.col(text), F.lit("\t"), F.lit(1)))
 
 
 def nonempty(src: Column, trg: Column) -> Column:
@@ -41,7 +47,13 @@ def collapse_space(text: Column) -> Column:
 
 
 def length_ok(src: Column, trg: Column, least: int = 1, most: int = MAX_WORDS) -> Column:
-    return count_words(src).between(least, most) & count_words(trg).between(least, most)
+    return words_between(src, least, most) & words_between(trg, least, most)
+
+
+def words_between(text: Column, least: int, most: int) -> Column:
+    """Whether a text has so many words: one search that stops at the word beyond."""
+    word, gap = rf"[^{SPACE}]++", rf"[{SPACE}]++"
+    return text.rlike(rf"^(?:{gap})?+(?:{word}(?:{gap}|$)){{{least},{most}}}+$")
 
 
 def word_length_ok(text: Column, most: int = 150) -> Column:
@@ -72,8 +84,11 @@ def currencies_match(src: Column, trg: Column) -> Column:
     return _same(src, trg, r"[$€£¥₽₹₩]|\b(?:USD|EUR|GBP|JPY|RUB|CHF)\b")
 
 
-def alpha_ok(text: Column, lang: Column, words: float = WORD_SHARE, chars: float = CHAR_SHARE) -> Column:
-    return F.coalesce(~mono_reason(text, lang).isin("RATIO_ALPHA", "RATIO_CHARS"), F.lit(True))
+def alpha_ok(text: Column, alphabet: str, words: float = WORD_SHARE, chars: float = CHAR_SHARE) -> Column:
+    """The shares of words that begin with a letter, and of letters among the signs, reach their bounds."""
+    t = strip(text)
+    n, solid = F.greatest(count_words(t), F.lit(1)), F.greatest(F.length(F.replace(t, F.lit(" "), F.lit(""))), F.lit(1))
+    return (F.regexp_count(t, F.lit(rf"(?<![^{SPACE}])[{alphabet}]")) / n >= words) & (F.regexp_count(t, F.lit(f"[{alphabet}]")) / solid >= chars)
 
 
 def fix_wiki(text: Column) -> Column:
@@ -121,6 +136,81 @@ def convert_chinese(text: Column, to: str, traditional: str = TRADITIONAL, simpl
     return F.when(chinese_script(text, traditional, simplified).isin("none", to), text).otherwise(F.translate(text, a, b))
 
 
+def chinese_pairs(df: DataFrame, script: str, src: str = "src", trg: str = "trg", side: str = "src") -> DataFrame:
+    """Pairs whose Chinese side is in just that script; rows go as a whole, so both sides stay aligned."""
+    return df.where(chinese_script(F.col(src if side == "src" else trg)) == script)
+
+
+def chinese_counts(df: DataFrame, to: str, text: str = "text") -> DataFrame:
+    """One row of counters of a conversion: visited, converted, and lines of each script."""
+    script = chinese_script(F.col(text))
+    counted = df.select(script.alias("script")).agg(F.count("*").alias("visited"), F.count_if(~F.col("script").isin("none", to)).alias("converted"), *(F.count_if(F.col("script") == k).alias(k) for k in ("simplified", "traditional", "both", "none")))
+    return counted
+
+
+#: Patterns and replacements for Japanese, in order; the last two lose the sign that they look at.
+_JA = r"\u3040-\u309F\u30A0-\u30FF\uFF00-\uFFEF\u4E00-\u9FAF\u3000-\u303F\u3400-\u4DBF"
+JAPANESE = [
+    (rf"([{_JA}?])!", "$1\uff01"), (rf"([{_JA}?])\?", "$1\uff1f"), (rf"([{_JA}?]):", "$1\uff1a"),
+    ("\\.\\.\\.\u3002", "..."), ("\u30fb\u30fb\u30fb", "\u2026"), (r"\. ?\. ?\. ?", "\u2026"), ("\uff0c", "\u3001"),
+    (rf"([{_JA}]),", "\u3001"), (rf"([{_JA}])\.\b", "\u3002"),
+]
+
+
+def japanese_signs(text: Column) -> Column:
+    for pattern, to in JAPANESE:
+        text = F.regexp_replace(text, pattern, to)
+    return text
+
+
+#: Languages written in Latin letters, of those that filters are set up for.
+LATIN = frozenset("ca cs da de en es et fi fr hr hu id is it lt lv ms mt nb nl nn pl pt ro sk sl sq sv tr vi".split())
+
+
+def filter_config(dataset: str, src: str, trg: str, available: set[str], mode: str = "custom") -> tuple[str, list[str]]:
+    """(configuration, filters added to it): the most special one there is.
+
+    From special to general: this data set for this pair, the pair's default, this data set, the default; a data set's
+    name also with '-' for '/'. Both sides in Latin letters get a check of currencies, but in a pair's own configuration.
+    """
+    names = [dataset, dataset.replace("/", "-")]
+    places = [*(f"{src}-{trg}/{n}" for n in names), f"{src}-{trg}/default", *names] if mode == "custom" else []
+    found = next((p for p in places if p in available), "default")
+    own = found.startswith(f"{src}-{trg}/")
+    return found, ["currency_mismatch"] if not own and {src, trg} <= LATIN else []
+
+
+def filter_pipeline(df: DataFrame, steps: list[dict]) -> DataFrame:
+    """Pairs through a list of {filter, parameters, language}: 'src', 'trg' or None for both sides, as one lazy plan."""
+    rewrites = {"normalize_whitespace": lambda t, p: collapse_space(t), "fix_wiki": lambda t, p: fix_wiki(t), "plain_punctuation": lambda t, p: plain_punctuation(t), "japanese_signs": lambda t, p: japanese_signs(t), "regexp": lambda t, p: F.regexp_replace(t, p["pattern"], p["to"])}
+    tests = {
+        "remove_empty_lines": lambda a, b, p: nonempty(a, b), "max_length": lambda a, b, p: length_ok(a, b, p.get("least", 1), p.get("most", MAX_WORDS)), "src_trg_ratio": lambda a, b, p: ratio_ok(a, b, p.get("ratio", 0.5)),
+        "max_word_length": lambda a, b, p: word_length_ok(a, p.get("most", 150)) & word_length_ok(b, p.get("most", 150)), "num_mismatch": lambda a, b, p: numbers_match(a, b), "url_mismatch": lambda a, b, p: urls_match(a, b),
+        "currency_mismatch": lambda a, b, p: currencies_match(a, b), "alpha_ratio": lambda a, b, p: alpha_ok(a, p["src"]) & alpha_ok(b, p["trg"]),
+    }
+    for step in steps:
+        name, given, side = step["filter"], step.get("parameters", {}), step.get("language")
+        if name in rewrites:
+            for c in ("src", "trg") if side is None else (side,):
+                df = df.withColumn(c, rewrites[name](F.col(c), given))
+        elif name == "remove_frequent_patterns":
+            a, b = remove_frequent(F.col("src"), F.col("trg"))
+            df = df.withColumns({"src": a, "trg": b})
+        elif name in tests:
+            df = df.where(tests[name](F.col("src"), F.col("trg"), given))
+        else:
+            raise ValueError(f"no filter {name}")
+    return df
+
+
+def directed(df: DataFrame, src: str, trg: str, model_src: str, model_trg: str) -> DataFrame:
+    """Pairs with their sides exchanged where the model goes the other way."""
+    if model_src == trg or model_trg == src:
+        other = {"src": "trg", "trg": "src"}
+        return df.select(*(F.col(other.get(c, c)).alias(c) for c in df.columns))
+    return df
+
+
 def threshold(df: DataFrame, least: float | Column, score: str = "score") -> DataFrame:
     """Rows above the threshold; a threshold of 0 passes all, with score 1."""
     if isinstance(least, (int, float)):
@@ -170,3 +260,24 @@ def merge_lines(docs: DataFrame, locale: str, least: float, longest: int) -> Dat
 
     end = lambda acc: F.when(acc["open"] == "", acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["open"])))
     return d.select("doc_id", F.posexplode(F.aggregate(zipped, start, step, end)).alias("chunk_no", "text")).where(strip(F.col("text")) != "").withColumn("chunk_no", F.col("chunk_no").cast("long"))
+
+
+def collected_lines(docs: DataFrame, locale: str, least: float, longest: int, most: int) -> tuple[DataFrame, DataFrame]:
+    """(lines, counters): merged lines (pos, text) of all documents in their order, each key once, at most `most` of them.
+
+    counters, one row: documents, lines visited, kept and filtered, documents that failed by score and by language, lines
+    that failed by language and by length, duplicate lines and final lines. A line is a duplicate if an earlier one has its
+    key. pos is (document, number of the line) in order; the first `most` of them are a top-n, not a sort of all.
+    """
+    judged = document_lines(docs, locale, least, longest)
+    one = judged.agg(
+        F.count_distinct("doc_id").alias("documents"), F.count_if(F.col("verdict").isin("kept", "line_lang", "too_long") & F.col("line_no").isNotNull()).alias("visited"), F.count_if(F.col("verdict") == "kept").alias("kept"),
+        F.count_distinct(F.when(F.col("verdict") == "doc_score", F.col("doc_id"))).alias("doc_score"), F.count_distinct(F.when(F.col("verdict") == "doc_lang", F.col("doc_id"))).alias("doc_lang"),
+        F.count_if(F.col("verdict") == "line_lang").alias("line_lang"), F.count_if(F.col("verdict") == "too_long").alias("too_long"),
+    )
+    merged = merge_lines(docs, locale, least, longest).withColumn("key", F.coalesce(norm_key(F.col("text")), F.lit("")))
+    first = merged.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "chunk_no", "text")).alias("x"))
+    counts = first.agg(F.sum(F.col("n") - 1).alias("duplicates"), F.least(F.count("*"), F.lit(most)).alias("final"))
+    out = first.select("x.*").orderBy("doc_id", "chunk_no").limit(most)
+    totals = one.withColumn("filtered", F.col("visited") - F.col("kept")).withColumn("duplicate_lines", F.coalesce(counts.select("duplicates").scalar(), F.lit(0))).withColumn("final_lines", counts.select("final").scalar())
+    return out, totals

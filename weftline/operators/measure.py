@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,14 +55,49 @@ def normalized(vector: Column) -> Column:
     return F.when(norm == 0, v).otherwise(F.transform(v, lambda x: x / norm))
 
 
-def nearest_centroid(df: DataFrame, vector: str, centroids: list[tuple[int, list[float]]]) -> DataFrame:
+#: Numbers that a matrix of centroids may hold: 5,000 of 1,024 dimensions and more, 64 MB as doubles.
+CENTROID_NUMBERS = 8_000_000
+
+
+def nearest_centroid(df: DataFrame, vector: str, centroids: DataFrame) -> DataFrame:
     """df with `cluster` and `similarity`: the centroid of the largest dot product, of equal ones the lowest id.
 
-    Centroids are a model's parameters, so they stand in the plan as literals and rows never meet in a join.
+    centroids (id, vector) are a model's parameters: their number is checked, then they are one broadcast matrix, by which
+    Arrow batches of vectors are multiplied. Vectors that are null or of another length get nulls.
     """
-    sims = F.array(*(F.struct(dot(F.col(vector), F.array(*(F.lit(float(x)) for x in c))).alias("similarity"), F.lit(-k).alias("k")) for k, c in centroids))
-    best = F.array_max(sims)
-    return df.withColumn("best", best).withColumn("cluster", -F.col("best.k")).withColumn("similarity", F.col("best.similarity")).drop("best")
+    name, column = centroids.columns
+    size = centroids.agg(F.coalesce(F.sum(F.size(column)), F.lit(0))).first()[0]
+    if size > CENTROID_NUMBERS:
+        raise ValueError(f"{size} numbers of centroids; deal them out and take the best of the parts instead")
+    rows = sorted((r[0], r[1]) for r in centroids.collect())
+    sent = df.sparkSession.sparkContext.broadcast((np.array([k for k, _ in rows], np.int64), np.array([v for _, v in rows], float)))
+
+    @F.pandas_udf("cluster long, similarity double")
+    def run(batch: pd.Series) -> pd.DataFrame:
+        ids, matrix = sent.value
+        ok = np.array([v is not None and len(v) == matrix.shape[-1] for v in batch], bool) & (len(ids) > 0)
+        out = pd.DataFrame({"cluster": pd.Series([None] * len(batch), dtype="Int64"), "similarity": pd.Series([None] * len(batch), dtype="Float64")})
+        if ok.any():
+            sims = np.stack([np.asarray(v, float) for v, k in zip(batch, ok, strict=True) if k]) @ matrix.T
+            best = (sims >= sims.max(axis=1, keepdims=True) - 1e-12).argmax(axis=1)
+            out.loc[ok, "cluster"] = ids[best]
+            out.loc[ok, "similarity"] = sims[np.arange(len(best)), best]
+        return out
+
+    return df.withColumn("best", run(F.col(vector))).withColumn("cluster", F.col("best.cluster")).withColumn("similarity", F.col("best.similarity")).drop("best")
+
+
+def mean_pooled(tokens: Column, mask: Column) -> Column:
+    """Mean of the token vectors whose mask is 1, at unit length. tokens: array of vectors; mask: array of 0 and 1."""
+    kept = F.transform(F.filter(F.arrays_zip(tokens.alias("v"), mask.alias("m")), lambda x: x["m"] == 1), lambda x: F.transform(x["v"], lambda y: y.cast("double")))
+    total = F.aggregate(F.slice(kept, 2, F.greatest(F.size(kept) - 1, F.lit(0))), F.get(kept, F.lit(0)), lambda a, v: F.zip_with(a, v, lambda x, y: x + y))
+    return normalized(F.transform(total, lambda x: x / F.size(kept)))
+
+
+def size_percentiles(sizes: DataFrame, points: tuple[float, ...] = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)) -> DataFrame:
+    """(point, size): percentiles of the clusters' sizes."""
+    x = sizes.agg(F.percentile("n", F.array(*(F.lit(p) for p in points))).alias("p"))
+    return x.select(F.posexplode("p").alias("i", "size")).select(F.get(F.array(*(F.lit(p) for p in points)), F.col("i")).alias("point"), "size")
 
 
 def cluster_model(df: DataFrame, vector: str, k: int, seed: int = 0):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.functions.text import norm_key
+from weftline.functions.text import norm_key, strip
 
 
 def best_per_target(pairs: DataFrame) -> DataFrame:
@@ -16,40 +16,50 @@ def best_per_target(pairs: DataFrame) -> DataFrame:
 
 
 def kept_by_dataset(pairs: DataFrame) -> DataFrame:
-    """(dataset, visited, kept, filtered) and a total, whose dataset is null."""
-    kept = best_per_target(pairs).select("dataset", F.lit(0).alias("v"), F.lit(1).alias("k"))
-    both = pairs.select("dataset", F.lit(1).alias("v"), F.lit(0).alias("k")).unionByName(kept)
-    x = both.rollup("dataset").agg(F.sum("v").alias("visited"), F.sum("k").alias("kept"))
+    """(dataset, visited, kept, filtered) and a total, whose dataset is null.
+
+    Pairs are counted by target and dataset first, which combines before the shuffle; a target's best pair is then found
+    among its datasets.
+    """
+    keyed = pairs.select("dataset", norm_key(F.col("trg")).alias("key"), F.struct(F.col("score"), (-F.col("pos")).alias("late")).alias("best"))
+    c = keyed.groupBy("key", "dataset").agg(F.count("*").alias("n"), F.max("best").alias("best"))
+    first = Window.partitionBy("key").orderBy(F.desc("best.score"), "dataset")
+    x = c.withColumn("k", (F.row_number().over(first) == 1).cast("long")).rollup("dataset").agg(F.sum("n").alias("visited"), F.sum("k").alias("kept"))
     return x.select("dataset", "visited", "kept", (F.col("visited") - F.col("kept")).alias("filtered"))
 
 
-def without(mono: DataFrame, parallel: DataFrame) -> DataFrame:
-    """Lines of mono whose key isn't one of parallel's."""
-    keys = parallel.select(norm_key(F.col("text")).alias("key")).distinct()
-    return mono.withColumn("key", norm_key(F.col("text"))).join(keys, "key", "left_anti").drop("key")
+def keyed(df: DataFrame) -> DataFrame:
+    """df with `key`; a null text has an empty key. The key is never null, so joins on it needn't work it out twice."""
+    return df.withColumn("key", F.coalesce(norm_key(F.col("text")), F.lit("")))
 
 
-def marked_mono(mono: DataFrame, parallel: DataFrame) -> DataFrame:
-    """mono with what becomes of a line: parallel_dup, mono_dup or kept; the first of equal lines is kept."""
-    keys = parallel.select(norm_key(F.col("text")).alias("key")).distinct().withColumn("hit", F.lit(True))
-    first = Window.partitionBy("key").orderBy("dataset", "pos")
-    x = mono.withColumn("key", norm_key(F.col("text"))).join(keys, "key", "left").withColumn("rn", F.row_number().over(first))
-    return x.withColumn("verdict", F.when(F.col("hit"), "parallel_dup").when(F.col("rn") > 1, "mono_dup").otherwise("kept")).drop("hit", "rn")
+def without(mono: DataFrame, parallel: DataFrame) -> DataFrame:
+    """Lines of mono whose key isn't one of parallel's."""
+    return keyed(mono).join(keyed(parallel).select("key").distinct(), "key", "left_anti").drop("key")
 
 
 def first_lines(mono: DataFrame, parallel: DataFrame) -> DataFrame:
-    return marked_mono(mono, parallel).where("verdict = 'kept'").drop("verdict", "key")
+    """Of the lines whose key isn't one of parallel's, the first by dataset and position of each key.
+
+    An aggregate, so that a line that stands everywhere is combined before the shuffle.
+    """
+    rest = keyed(mono).join(keyed(parallel).select("key").distinct(), "key", "left_anti")
+    row = F.struct("dataset", "pos", *(c for c in mono.columns if c not in ("dataset", "pos")))
+    return rest.groupBy("key").agg(F.min_by(row, F.struct("dataset", "pos")).alias("row")).select("row.*").select(*mono.columns)
 
 
 def mono_stats(mono: DataFrame, parallel: DataFrame) -> DataFrame:
     """One row of counters; code points include each line's end."""
-    n = parallel.select(norm_key(F.col("text")).alias("key")).distinct().agg(F.count("*").alias("parallel_corpus_lines"))
-    is_ = lambda v: F.count_if(F.col("verdict") == v)
-    s = marked_mono(mono, parallel).agg(
-        F.count("*").alias("visited"), is_("kept").alias("kept"), is_("parallel_dup").alias("parallel_duplicates"), is_("mono_dup").alias("mono_duplicates"),
-        F.coalesce(F.sum(F.when(F.col("verdict") == "kept", F.length("text") + 1)), F.lit(0)).alias("final_codepoints"),
+    theirs = keyed(parallel).select("key").distinct().withColumn("hit", F.lit(1))
+    c = keyed(mono).groupBy("key").agg(F.count("*").alias("n"), F.min_by(F.length("text") + 1, F.struct("dataset", "pos")).alias("points"))
+    x = c.join(theirs, "key", "full").select("n", "points", F.col("hit").isNotNull().alias("theirs"))
+    add = lambda what, when: F.coalesce(F.sum(F.when(when, what)), F.lit(0))
+    mine = F.col("n").isNotNull()
+    s = x.agg(
+        add(F.col("n"), mine).alias("visited"), F.count_if(mine & ~F.col("theirs")).alias("kept"), add(F.col("n"), mine & F.col("theirs")).alias("parallel_duplicates"),
+        add(F.col("n") - 1, mine & ~F.col("theirs")).alias("mono_duplicates"), add(F.col("points"), mine & ~F.col("theirs")).alias("final_codepoints"), F.count_if(F.col("theirs")).alias("parallel_corpus_lines"),
     )
-    return s.withColumn("filtered", F.col("visited") - F.col("kept")).withColumn("parallel_corpus_lines", n.scalar())
+    return s.withColumn("filtered", F.col("visited") - F.col("kept"))
 
 
 def distinct_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -57,14 +67,16 @@ def distinct_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def zip_by_position(src: DataFrame, trg: DataFrame) -> DataFrame:
-    """(dataset, pos, src, trg) of two corpora that share dataset and pos."""
-    return src.join(trg, ["dataset", "pos"])
+    """(dataset, pos, src, trg) of two corpora that go by dataset and pos; raises where one side has no partner."""
+    x = src.withColumn("_s", F.lit(True)).join(trg.withColumn("_t", F.lit(True)), ["dataset", "pos"], "full")
+    alone = F.raise_error(F.concat_ws(" ", F.lit("no partner at"), "dataset", F.col("pos").cast("string")))
+    return x.select("dataset", "pos", F.when(F.col("_s") & F.col("_t"), F.col("src")).otherwise(alone).alias("src"), "trg")
 
 
 def build_tsv(rows: DataFrame) -> DataFrame:
-    """(dataset, pos, line): fields stripped and joined by tabs; rows with an empty alignment are dropped."""
-    s, t, a = (F.trim(F.translate(c, "\t", " ")) for c in ("src", "trg", "aln"))
-    return rows.where(F.trim("aln") != "").select("dataset", "pos", F.concat_ws("\t", s, t, a).alias("line"))
+    """(dataset, pos, line): fields stripped of white space and joined by tabs; rows with an empty alignment are dropped."""
+    s, t, a = (strip(F.translate(c, "\t", " ")) for c in ("src", "trg", "aln"))
+    return rows.where(strip(F.col("aln")) != "").select("dataset", "pos", F.concat_ws("\t", s, t, a).alias("line"))
 
 
 def record_sync(local: DataFrame, remote: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,11 +56,54 @@ def chrf(hyp: str, ref: str, order: int = 6, beta: float = 2.0) -> float:
 METRICS = {"bleu": bleu, "chrf": chrf}
 
 
+def _numbered(texts: pd.Series, number: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers of the words of all texts, words of each text)."""
+    lists = [(t or "").split() for t in texts]
+    ids = np.fromiter((number.setdefault(w, len(number)) for x in lists for w in x), np.int64)
+    return ids, np.fromiter(map(len, lists), np.int64, len(lists))
+
+
+def _matches(h: tuple[np.ndarray, np.ndarray], r: tuple[np.ndarray, np.ndarray], n: int) -> np.ndarray:
+    """Clipped n-gram matches of each row: n-grams are numbered exactly, then counted by row on both sides."""
+    both = [np.stack([i[k : len(i) - n + 1 + k] for k in range(n)], axis=1) if len(i) >= n else np.zeros((0, n), np.int64) for i in (h[0], r[0])]
+    rows = [np.repeat(np.arange(len(s)), s)[: len(g)] for (_, s), g in zip((h, r), both, strict=True)]
+    inside = [row == np.repeat(np.arange(len(s)), s)[n - 1 :][: len(row)] for row, (_, s) in zip(rows, (h, r), strict=True)]
+    grams, where = np.concatenate([g[k] for g, k in zip(both, inside, strict=True)]), np.concatenate([x[k] for x, k in zip(rows, inside, strict=True)])
+    side = np.concatenate([np.zeros(int(inside[0].sum()), np.int64), np.ones(int(inside[1].sum()), np.int64)])
+    code = where
+    for k in range(n):  # (row, words so far) as one number
+        code = np.unique(code * (int(grams[:, k].max(initial=0)) + 1) + grams[:, k], return_inverse=True)[1]
+    counts = np.zeros((2, int(code.max(initial=-1)) + 1), np.int64)
+    np.add.at(counts, (side, code), 1)
+    row = np.zeros(counts.shape[1], np.int64)
+    row[code] = where
+    return np.bincount(row, np.minimum(counts[0], counts[1]), len(h[1])).astype(np.int64)
+
+
+def bleu_batch(hyps: pd.Series, refs: pd.Series) -> np.ndarray:
+    """bleu() of all rows of a batch at once."""
+    number: dict[str, int] = {}
+    h, r = _numbered(hyps, number), _numbered(refs, number)
+    a, b = h[1].astype(float), r[1].astype(float)
+    logs = np.zeros(len(a))
+    for n in range(1, ORDERS + 1):
+        logs += np.log((_matches(h, r, n) + 1.0) / np.maximum(a - n + 2.0, 1.0))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        brevity = np.where((b == 0) | (a > b), 1.0, np.exp(1 - b / a))
+    return np.where(a < ORDERS, 0.0, np.exp(logs / ORDERS) * brevity)
+
+
+#: Metrics that are worked out for a whole batch at once.
+BATCHED = {"bleu": bleu_batch}
+
+
 def candidate_score(hyp: Column, ref: Column, metric: str = "bleu") -> Column:
     """Counts of n-grams are beyond Spark's array functions at a fair price, so this goes by Arrow batches."""
 
     @F.pandas_udf("double")
     def run(a: pd.Series, b: pd.Series) -> pd.Series:
+        if metric in BATCHED:
+            return pd.Series(BATCHED[metric](a, b))
         return pd.Series([METRICS[metric](x or "", y or "") for x, y in zip(a, b, strict=True)], dtype=float)
 
     return run(hyp, ref)
@@ -74,18 +118,26 @@ def best_candidate(scored: DataFrame, score: str = "bleu") -> DataFrame:
     return scored.groupBy("idx").agg(F.max_by("hyp", F.struct(F.col(score), -F.col("rank"))).alias("hyp"))
 
 
-def shortlist(lexicon: DataFrame, vocabulary: DataFrame, best: int = 100, first: int = 100) -> DataFrame:
-    """(src, trg): for each source the best targets, and the first words of the vocabulary that it has at all.
+def shortlist(lexicon: DataFrame, best: int = 100, first: int = 100) -> DataFrame:
+    """(src, trg): for each source the best targets, and those of the commonest `first` + 2 targets that it has at all.
 
-    lexicon: (src, trg, prob); vocabulary: (trg, place from 0). Targets of both kinds appear once.
+    lexicon: a table (src, trg, prob), read twice. How common a target is, is how many sources have it.
     """
     rank = F.row_number().over(Window.partitionBy("src").orderBy(F.desc("prob"), "trg"))
-    top = lexicon.withColumn("rn", rank).where(F.col("rn") <= best).select("src", "trg")
-    common = lexicon.join(vocabulary.where(F.col("place") < first + 2).select("trg"), "trg", "left_semi").select("src", "trg")
-    return top.unionByName(common).distinct()
+    common = lexicon.groupBy("trg").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "trg").limit(first + 2).select("trg", F.lit(True).alias("common"))
+    marked = lexicon.join(F.broadcast(common), "trg", "left").withColumn("rn", rank)
+    return marked.where((F.col("rn") <= best) | F.col("common")).select("src", "trg")
+
 
+def lexical_table(aligned: DataFrame) -> DataFrame:
+    """(src, trg, prob): p(target word | source word) from how often words are aligned.
 
-def lexical_table(pairs: DataFrame) -> DataFrame:
-    """(src, trg, prob): share of the target words beside a source word's first place, from the pairs' first words."""
-    c = pairs.select(F.get(words(F.col("src")), F.lit(0)).alias("src"), F.explode(words(F.col("trg"))).alias("trg")).where("src IS NOT NULL").groupBy("src", "trg").agg(F.count("*").alias("n"))
-    return c.withColumn("prob", F.col("n") / F.sum("n").over(Window.partitionBy("src"))).drop("n")
+    aligned: (src, trg, alignment), texts and an array of (s, t) word numbers; pairs of numbers that a text doesn't have are
+    left out. Counts combine before the shuffle.
+    """
+    a, b = words(F.col("src")), words(F.col("trg"))
+    d = aligned.select(a.alias("a"), b.alias("b"), F.col("alignment").alias("x"))
+    d = d.select(F.explode(F.transform("x", lambda p: F.struct(F.get("a", p["s"]).alias("src"), F.get("b", p["t"]).alias("trg")))).alias("w")).select("w.*")
+    c = d.where("src IS NOT NULL AND trg IS NOT NULL").groupBy("src", "trg").agg(F.count("*").alias("n"))
+    total = c.groupBy("src").agg(F.sum("n").alias("m"))
+    return c.join(total, "src").select("src", "trg", (F.col("n") / F.col("m")).alias("prob"))

@@ -10,6 +10,7 @@ from weftline.operators import scorers as S
 from weftline.sources import derived as D
 
 W = T.SPACE_RE2
+STRIPPED = lambda c: rf"regexp_replace(replace({c}, chr(9), ' '), '^[{W}]+|[{W}]+$', '', 'g')"
 STRIP = rf"regexp_replace(text, '^[{W}]+|[{W}]+$', '', 'g')"
 LINE = ["doc_id", "line_no"]
 THRESHOLDS, DEFAULT_THRESHOLD = {"src0": 0.7, "src1": 0.3}, 0.5
@@ -67,7 +68,7 @@ def _deescape_sql() -> str:
 
 
 def _reasons(spark, d):
-    return D.lines(spark, d).select(*LINE, F.coalesce(C.mono_reason(F.col("text"), F.col("lang")), F.lit("KEPT")).alias("reason"))
+    return C.mono_reasons(D.lines(spark, d)).select(*LINE, F.coalesce("reason", F.lit("KEPT")).alias("reason"))
 
 
 def _reason_sql(tail: str) -> str:
@@ -112,8 +113,17 @@ def _import_ids(spark, d):
     return _names(spark).select("name", a.alias("importer"), b.alias("augmentation"), c.alias("dataset"))
 
 
-def _search_key(spark, d):
-    return D.read(spark, d, "documents").where(F.col("lang") == "en").select("doc_id", "lang")
+def _lang_filter(spark, d):
+    """A detector's label and the text; the label here is the document's language, behind a prefix as detectors write it."""
+    x = D.lines(spark, d).withColumn("label", F.concat(F.lit("__label__"), "lang"))
+    return C.language_ok(x, "en", F.col("label")).select(*LINE, "text")
+
+
+def _urls(spark, d):
+    """Pairs of which every third names a page on one side only, or another one."""
+    page = F.concat(F.lit(" https://example.org/p"), (F.col("line_no") % 4).cast("string"))
+    other = F.concat(F.lit(" https://example.org/p"), (F.col("doc_id") % 4).cast("string"))
+    return D.pairs(spark, d).withColumns({"src": F.concat("src", F.when(F.col("line_no") % 3 == 0, page).otherwise("")), "trg": F.concat("trg", F.when(F.col("line_no") % 3 == 0, other).otherwise(""))})
 
 
 def _tsv(spark, d):
@@ -132,6 +142,11 @@ def _augment(how):
     return _text(lambda t: S.augment(t, how))
 
 
+def _punct(spark, d):
+    a, b = S.strip_endings(F.col("src"), F.col("trg"))
+    return D.pairs(spark, d).select(*LINE, a.alias("src"), b.alias("trg"))
+
+
 COUNT = lambda c: rf"len(regexp_extract_all({c}, '[^{W}]+'))"
 PAIR_SQL = f"WITH {D.PAIRS} SELECT doc_id, line_no, src, trg FROM P WHERE "
 same = lambda p: f"list_sort(regexp_extract_all(src, '{p}')) = list_sort(regexp_extract_all(trg, '{p}'))"
@@ -145,13 +160,13 @@ QUERIES = {
     "plain_punctuation": _text(C.plain_punctuation),
     "mono_rules_reason": _reasons,
     "mono_rules_keep": lambda spark, d: _reasons(spark, d).where("reason = 'KEPT'").select(*LINE),
-    "lang_filter": _search_key,
+    "lang_filter": _lang_filter,
     "pair_nonempty_filter": _pairs(C.nonempty),
     "pair_length_filter": _pairs(C.length_ok),
     "pair_word_length_filter": _pairs(lambda a, b: C.word_length_ok(a, 14) & C.word_length_ok(b, 14)),
     "pair_ratio_filter": _pairs(C.ratio_ok),
     "num_mismatch": _pairs(lambda a, b: ~C.numbers_match(a, b)),
-    "url_mismatch": _pairs(lambda a, b: ~C.urls_match(a, b)),
+    "url_mismatch": lambda spark, d: _urls(spark, d).where(~C.urls_match(F.col("src"), F.col("trg"))).select(*LINE, "src", "trg"),
     "frequent_patterns": _frequent,
     "score_threshold_split": _threshold_split,
     "threshold_by_dataset": _by_dataset,
@@ -168,7 +183,7 @@ QUERIES = {
     "norm_key": lambda spark, d: D.lines(spark, d).select(*LINE, T.norm_key(F.col("text")).alias("key")),
     "augment_upper": _augment("upper"),
     "augment_title": _augment("title"),
-    "augment_punct": _augment("punct"),
+    "augment_punct": _punct,
 }
 
 _SIZE_SQL = "K(size) AS (VALUES " + ", ".join(f"({s}::BIGINT)" for (s,) in SIZES) + ")"
@@ -182,13 +197,13 @@ ORACLES = {
     "plain_punctuation": f"WITH {D.LINES} SELECT doc_id, line_no, translate(text, '{''.join(C.FULL_WIDTH)}', '{''.join(C.FULL_WIDTH.values())}') AS text FROM L",
     "mono_rules_reason": _reason_sql("SELECT doc_id, line_no, reason FROM R"),
     "mono_rules_keep": _reason_sql("SELECT doc_id, line_no FROM R WHERE reason = 'KEPT'"),
-    "lang_filter": "SELECT doc_id, lang FROM documents WHERE lang = 'en'",
+    "lang_filter": f"WITH {D.LINES} SELECT doc_id, line_no, string_split(text, chr(9))[1] AS text FROM L WHERE lang = 'en'",
     "pair_nonempty_filter": PAIR_SQL + "src <> '' AND trg <> ''",
     "pair_length_filter": PAIR_SQL + f"{COUNT('src')} BETWEEN 1 AND 150 AND {COUNT('trg')} BETWEEN 1 AND 150",
     "pair_word_length_filter": PAIR_SQL + " AND ".join(f"NOT regexp_matches({c}, '[^{W}]{{15,}}')" for c in ("src", "trg")),
     "pair_ratio_filter": PAIR_SQL + "least(len(src), len(trg)) >= greatest(len(src), len(trg)) * 0.5",
     "num_mismatch": PAIR_SQL + f"NOT ({same('[0-9]+')})",
-    "url_mismatch": PAIR_SQL + f"NOT ({same(C.URL)})",
+    "url_mismatch": f"WITH {D.PAIRS}, U AS (SELECT doc_id, line_no, src || CASE WHEN line_no % 3 = 0 THEN ' https://example.org/p' || (line_no % 4) ELSE '' END AS src, trg || CASE WHEN line_no % 3 = 0 THEN ' https://example.org/p' || (doc_id % 4) ELSE '' END AS trg FROM P) SELECT * FROM U WHERE line_no % 3 = 0 AND line_no % 4 <> doc_id % 4",
     "frequent_patterns": f"""WITH {D.PAIRS}, A AS (SELECT doc_id, line_no, '• ' || src AS src, trg FROM P),
 B AS (SELECT doc_id, line_no, CASE WHEN h THEN regexp_replace(src, '^ -', '') ELSE src END AS src, CASE WHEN h THEN regexp_replace(trg, '^ -', '') ELSE trg END AS trg FROM (SELECT *, regexp_matches(src || chr(9) || trg, '^ -') AS h FROM A)),
 C AS (SELECT doc_id, line_no, replace(src, ' (Ekumenická Bible)', '') AS src, replace(trg, ' (Ekumenická Bible)', '') AS trg FROM B),
@@ -196,7 +211,7 @@ E AS (SELECT doc_id, line_no, CASE WHEN h THEN regexp_replace(src, '^• *', '')
 SELECT doc_id, line_no, CASE WHEN h THEN regexp_replace(src, '^• *', '') ELSE src END AS src, CASE WHEN h THEN regexp_replace(trg, '^• *', '') ELSE trg END AS trg FROM (SELECT *, regexp_matches(src || chr(9) || trg, '^[^•][^\\t]*\\t•') AS h FROM E)""",
     "score_threshold_split": f"WITH {D.PAIRS} SELECT doc_id, line_no, score, CASE WHEN score > 0.5 THEN 'best' ELSE 'rest' END AS part FROM P",
     "threshold_by_dataset": f"WITH {D.PAIRS}, T AS (SELECT *, CASE dataset {' '.join(f'WHEN {k!r} THEN {v}' for k, v in THRESHOLDS.items())} ELSE {DEFAULT_THRESHOLD} END::DOUBLE AS threshold FROM P) SELECT dataset, doc_id, line_no, score, threshold FROM T WHERE score > threshold",
-    "build_training_tsv": f"WITH {D.PAIRS} SELECT dataset, pos, trim(replace(src, chr(9), ' '), ' ') || chr(9) || trim(replace(trg, chr(9), ' '), ' ') || chr(9) || (line_no % 3) || '-' || (line_no % 2) AS line FROM P WHERE line_no % 5 <> 0",
+    "build_training_tsv": f"WITH {D.PAIRS} SELECT dataset, pos, {STRIPPED('src')} || chr(9) || {STRIPPED('trg')} || chr(9) || (line_no % 3) || '-' || (line_no % 2) AS line FROM P WHERE line_no % 5 <> 0",
     "dataset_key_parse": f"WITH {NAME_SQL} SELECT name, CASE WHEN ok THEN left(name, i - 1) END AS importer, CASE WHEN ok THEN substr(name, i + 1) END AS dataset FROM (SELECT name, instr(name, '_') AS i, instr(name, '_') > 1 AND instr(name, '_') < length(name) AS ok FROM K)",
     "dataset_name_sanitize": f"""WITH {NAME_SQL}, A AS (SELECT name, regexp_extract(name, '^https?://([^/:?#]+)', 1) AS host, replace(replace(regexp_replace(regexp_extract(name, '([^/]*)$', 1), '\\.[^.]*$', ''), '.[LANG]', ''), '[LANG]', '') AS stem, left(md5(name), 6) AS digest FROM K)
 SELECT name, regexp_replace(CASE WHEN starts_with(name, 'http') THEN CASE WHEN host = 'storage.googleapis.com' THEN 'gcp' ELSE host END || '_' || stem || '_' || digest WHEN length(name) > 50 THEN left(name, 50) || '_' || digest ELSE name END, '://|[/.:\\[\\]]', '_', 'g') AS label FROM A""",
@@ -208,5 +223,6 @@ SELECT name, regexp_replace(CASE WHEN starts_with(name, 'http') THEN CASE WHEN h
     "hplt_lines": DOCS_SQL + " SELECT doc_id, line_no, text FROM R WHERE verdict = 'kept'",
     "norm_key": f"WITH {D.LINES} SELECT doc_id, line_no, nfc_normalize({STRIP}) AS key FROM L",
     "augment_upper": f"WITH {D.LINES} SELECT doc_id, line_no, upper(replace(text, 'ß', 'ss')) AS text FROM L",
-    "augment_punct": f"WITH {D.LINES} SELECT doc_id, line_no, regexp_replace(text, '[.!?…]+\\s*$', '') AS text FROM L",
+    "augment_punct": f"WITH {D.PAIRS}, E AS (SELECT *, list_position(['.', '!', '?', '…'], translate(right(src, 1), '。！？', '.!?')) AS a, list_position(['.', '!', '?', '…'], translate(right(trg, 1), '。！？', '.!?')) AS b FROM P) SELECT doc_id, line_no, CASE WHEN a = b THEN left(src, length(src) - 1) ELSE src END AS src, CASE WHEN a = b THEN left(trg, length(trg) - 1) ELSE trg END AS trg FROM E",
+    "augment_title": f"WITH {D.LINES} SELECT doc_id, line_no, array_to_string(list_transform(string_split(text, ' '), lambda w: replace(upper(left(w, 1)), 'ẞ', 'Ss') || lower(w[2:])), ' ') AS text FROM L",
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weftline.functions.text import SPACE_RE2 as W
+from weftline.operators import align as L
 from weftline.operators import measure as A
 from weftline.operators import merge as M
 from weftline.operators import rank as R
@@ -13,7 +14,7 @@ from weftline.sources import derived as D
 
 KEY = lambda c: rf"nfc_normalize(regexp_replace({c}, '^[{W}]+|[{W}]+$', '', 'g'))"
 PAIR = ["dataset", "pos", "src", "trg", "score"]
-STRETCH = 1_000_000 * 50
+STRETCH = D.LINES_EACH * 50
 SEED, SAMPLE, PARTS, BATCH = 7, 500, 10, 64
 
 
@@ -28,8 +29,12 @@ def _union(spark, d):
 
 
 def _zip(spark, d):
-    p = D.pairs(spark, d)
-    return M.zip_by_position(p.select("dataset", "pos", "src"), p.select("dataset", "pos", "trg"))
+    """Two sides read apart from each other: all lines but a document's last, and all but its first, a place back."""
+    x = D.lines(spark, d)
+    last = D.documents(spark, d).select(F.col("doc_id").alias("i"), (F.size(F.split("text", "\n")) - 1).alias("last"))
+    src = x.join(last, F.col("doc_id") == F.col("i")).where("line_no < last").select("dataset", "pos", F.col("text").alias("src"))
+    trg = x.where("line_no > 0").select("dataset", (F.col("pos") - 1).alias("pos"), F.col("text").alias("trg"))
+    return M.zip_by_position(src, trg)
 
 
 def _mono_kept(spark, d):
@@ -38,7 +43,7 @@ def _mono_kept(spark, d):
 
 def _ce(spark, d):
     x = D.pairs(spark, d)
-    return S.trim_worst(x, 0.05, F.floor(F.col("score") * 1000), F.col("score"), F.col("pos")).select("pos", "score")
+    return S.trim_worst(x, 0.05, "score", F.floor(F.col("pos") / STRETCH), F.col("pos")).select("pos", "score")
 
 
 def _chunks(spark, d):
@@ -53,7 +58,7 @@ def _collected(spark, d):
 
 
 def _llm_batches(spark, d):
-    x = D.pairs(spark, d).where(F.col("score") > 0.9)
+    x = D.pairs(spark, d)
     b = S.batches(x.select("pos", "src"), BATCH, F.floor(F.col("pos") / STRETCH), F.col("pos"))
     line = F.concat(F.lit("example "), (F.col("rank") % BATCH).cast("string"), F.lit(" "), F.col("src"))
     return b.withColumn("line", line).groupBy("batch").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "line"))), lambda r: r["line"]), "\n").alias("prompt"))
@@ -70,7 +75,7 @@ def _mix(spark, d):
 
 def _token_batches(spark, d):
     x = D.lines(spark, d).withColumn("n", F.regexp_count("text", F.lit("[^ ]+")))
-    return S.padded_batches(x, 512, "n", "pos").select("pos", "bucket", "batch")
+    return S.padded_batches(x, 512, "n", F.floor(F.col("pos") / STRETCH), F.col("pos")).select("pos", "bucket", "batch")
 
 
 def _bleu(spark, d):
@@ -90,16 +95,12 @@ def _nbest(spark, d):
 
 
 def _lexicon(spark, d):
-    return R.lexical_table(D.pairs(spark, d).where(F.col("doc_id") % 2 == 0).select(F.lower("src").alias("src"), F.lower("trg").alias("trg")))
+    p = D.pairs(spark, d).select(F.lower("src").alias("src"), F.lower("trg").alias("trg"))
+    return R.lexical_table(p.withColumn("alignment", L.diagonal(F.col("src"), F.col("trg"))))
 
 
 def _shortlist(spark, d):
-    lexicon = _lexicon(spark, d)
-    words = lexicon.groupBy("trg").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "trg").limit(12)
-    from pyspark.sql import Window
-
-    vocabulary = words.withColumn("place", F.row_number().over(Window.orderBy(F.desc("n"), "trg")) - 1)  # 12 rows
-    return R.shortlist(lexicon, vocabulary, 5, 10)
+    return R.shortlist(_lexicon(spark, d))
 
 
 def _unit(spark, d):
@@ -109,8 +110,7 @@ def _unit(spark, d):
 
 def _centroids(spark, d):
     x = D.read(spark, d, "embeddings").select("vec_id", A.normalized(F.col("embedding")).alias("v"))
-    chosen = [(r.vec_id, r.v) for r in x.where("vec_id < 10").orderBy("vec_id").collect()]
-    return A.nearest_centroid(x, "v", chosen).select("vec_id", F.col("cluster").cast("long").alias("cluster"), F.round("similarity", 6).alias("similarity"))
+    return A.nearest_centroid(x, "v", x.where("vec_id < 10").select("vec_id", "v")).select("vec_id", F.col("cluster"), F.round("similarity", 6).alias("similarity"))
 
 
 def _length(spark, d):
@@ -175,14 +175,14 @@ BLEU = f"""WITH {D.CANDIDATES}, T AS (SELECT idx, rank, hyp, {WORDS('hyp')} AS h
 MM AS (SELECT *, {MATCH} FROM G), PP AS (SELECT *, {PREC} FROM MM),
 BL AS (SELECT idx, rank, hyp, CASE WHEN least(p1, p2, p3, p4) > 0 THEN exp((ln(p1) + ln(p2) + ln(p3) + ln(p4)) / 4) ELSE 0.0 END * CASE WHEN len(r) = 0 OR len(h) = 0 OR len(h) > len(r) THEN 1.0 ELSE exp(1 - len(r)::DOUBLE / len(h)) END AS bleu FROM PP)"""
 UNIT = "U AS (SELECT vec_id, CASE WHEN sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))) = 0 THEN list_transform(embedding, lambda x: x::DOUBLE) ELSE list_transform(embedding, lambda x: x::DOUBLE / sqrt(list_sum(list_transform(embedding, lambda y: y::DOUBLE * y::DOUBLE)))) END AS v FROM embeddings)"
-LEX = rf"""WITH {D.PAIRS}, X AS (SELECT ({WORDS('lower(src)')})[1] AS src, unnest({WORDS('lower(trg)')}) AS trg FROM P WHERE doc_id % 2 = 0),
-C AS (SELECT src, trg, count(*) AS n FROM X WHERE src IS NOT NULL GROUP BY 1, 2), LX AS (SELECT src, trg, n / sum(n) OVER (PARTITION BY src) AS prob FROM C)"""
+LEX = rf"""WITH {D.PAIRS}, X AS (SELECT s[i] AS src, t[i] AS trg FROM (SELECT s, t, unnest(range(1, least(len(s), len(t)) + 1)) AS i FROM (SELECT {WORDS('lower(src)')} AS s, {WORDS('lower(trg)')} AS t FROM P))),
+C AS (SELECT src, trg, count(*) AS n FROM X GROUP BY 1, 2), LX AS (SELECT src, trg, n / sum(n) OVER (PARTITION BY src) AS prob FROM C)"""
 
 ORACLES = {
     "merge_parallel_dedup": BEST + " SELECT dataset, pos, src, trg, score FROM B WHERE rn = 1",
     "merge_parallel_stats": BEST + " SELECT dataset, count(*) AS visited, count(*) FILTER (rn = 1) AS kept, count(*) FILTER (rn > 1) AS filtered FROM B GROUP BY ROLLUP (dataset)",
     "union_corpora": f"WITH {D.PAIRS} SELECT dataset, pos, src, trg, score FROM P UNION ALL SELECT dataset, pos, src, trg, score FROM P WHERE score > 0.5",
-    "positional_zip": f"WITH {D.PAIRS} SELECT dataset, pos, src, trg FROM P",
+    "positional_zip": f"WITH {D.LINES} SELECT a.dataset, a.pos, a.text AS src, b.text AS trg FROM L a JOIN L b ON a.doc_id = b.doc_id AND b.line_no = a.line_no + 1",
     "mono_antijoin_parallel": MONO + " SELECT dataset, pos, text FROM V WHERE verdict <> 'parallel_dup'",
     "merge_mono_dedup": MONO + " SELECT dataset, pos, text FROM V WHERE verdict = 'kept'",
     "merge_mono_stats": MONO + " SELECT count(*) AS visited, count(*) FILTER (verdict = 'kept') AS kept, count(*) FILTER (verdict = 'parallel_dup') AS parallel_duplicates, count(*) FILTER (verdict = 'mono_dup') AS mono_duplicates, coalesce(sum(len(text) + 1) FILTER (verdict = 'kept'), 0)::BIGINT AS final_codepoints, count(*) - count(*) FILTER (verdict = 'kept') AS filtered, (SELECT count(*) FROM QK) AS parallel_corpus_lines FROM V",
@@ -191,7 +191,7 @@ ORACLES = {
     "diverse_sample": "SELECT vec_id, label, row_number() OVER (PARTITION BY label ORDER BY vec_id DESC) AS turn FROM embeddings ORDER BY turn, label LIMIT 100",
     "split_chunks": f"WITH {D.LINES} SELECT pos, (row_number() OVER (ORDER BY pos) - 1) // ((SELECT (count(*) + {PARTS - 1}) // {PARTS} FROM L)) + 1 AS chunk FROM L",
     "collect_chunks": f"WITH {D.LINES}, C AS (SELECT pos, (row_number() OVER (ORDER BY pos) - 1) // ((SELECT (count(*) + {PARTS - 1}) // {PARTS} FROM L)) + 1 AS chunk FROM L) SELECT chunk, count(*) AS n, min(pos) AS first, max(pos) AS last FROM C GROUP BY 1",
-    "llm_batches": f"WITH {D.PAIRS}, R AS (SELECT src, row_number() OVER (ORDER BY pos) - 1 AS rank FROM P WHERE score > 0.9) SELECT rank // {BATCH} AS batch, string_agg('example ' || (rank % {BATCH}) || ' ' || src, chr(10) ORDER BY rank) AS prompt FROM R GROUP BY 1",
+    "llm_batches": f"WITH {D.PAIRS}, R AS (SELECT src, row_number() OVER (ORDER BY pos) - 1 AS rank FROM P) SELECT rank // {BATCH} AS batch, string_agg('example ' || (rank % {BATCH}) || ' ' || src, chr(10) ORDER BY rank) AS prompt FROM R GROUP BY 1",
     "curriculum_mix": f"WITH {D.LINES} (SELECT pos, 'en' AS corpus FROM L WHERE lang = 'en' ORDER BY md5('{SEED}:' || pos), pos LIMIT 700) UNION ALL (SELECT pos, 'other' AS corpus FROM L WHERE lang <> 'en' ORDER BY md5('{SEED}:' || pos), pos LIMIT 300)",
     "token_batches": f"WITH {D.LINES}, B AS (SELECT pos, ceil(greatest(len(regexp_extract_all(text, '[^ ]+')), 1) / 10.0)::BIGINT AS bucket FROM L) SELECT pos, bucket, (row_number() OVER (PARTITION BY bucket ORDER BY pos) - 1) // greatest(1, 512 // (bucket * 10)) AS batch FROM B",
     "ce_filter": f"WITH {D.PAIRS}, R AS (SELECT pos, score, row_number() OVER (ORDER BY score, pos) - 1 AS rank FROM P) SELECT pos, score FROM R WHERE rank >= greatest((SELECT floor(count(*) * 0.05) FROM P) - 1, 0)",
@@ -199,7 +199,8 @@ ORACLES = {
     "extract_best": BLEU + " SELECT idx, hyp FROM (SELECT *, row_number() OVER (PARTITION BY idx ORDER BY round(bleu, 9) DESC, rank) AS rn FROM BL) WHERE rn = 1",
     "nbest_parse": f"WITH {D.CANDIDATES} SELECT rank, idx, CASE WHEN rank = 0 THEN '' ELSE hyp END AS hyp, CASE WHEN rank = 0 THEN '' ELSE 'F0= -1.5 F1= -2.5' END AS features, CASE WHEN rank > 0 THEN -(rank + 0.25)::DOUBLE END AS nbest_score FROM N",
     "lexical_table": LEX + " SELECT src, trg, round(prob, 6) AS prob FROM LX",
-    "prune_shortlist": LEX + ", VO AS (SELECT trg FROM LX GROUP BY trg ORDER BY count(*) DESC, trg LIMIT 12) SELECT src, trg FROM (SELECT src, trg, row_number() OVER (PARTITION BY src ORDER BY prob DESC, trg) AS rn FROM LX) WHERE rn <= 5 UNION SELECT src, trg FROM LX WHERE trg IN (SELECT trg FROM VO)",
+    "prune_shortlist": LEX + ", VO AS (SELECT trg FROM LX GROUP BY trg ORDER BY count(*) DESC, trg LIMIT 102) SELECT src, trg FROM (SELECT src, trg, row_number() OVER (PARTITION BY src ORDER BY prob DESC, trg) AS rn FROM LX) WHERE rn <= 100 UNION SELECT src, trg FROM LX WHERE trg IN (SELECT trg FROM VO)",
+    "l2_normalize": f"WITH {UNIT} SELECT vec_id, array_to_string(list_transform(v, lambda x: CASE WHEN round(x, 5) = 0 THEN '0.00000' ELSE round(x, 5)::DECIMAL(12,5)::VARCHAR END), ' ') AS vector FROM U",
     "nearest_centroid": f"WITH {UNIT}, S AS (SELECT U.vec_id, c.vec_id AS cluster, list_sum(list_transform(list_zip(U.v, c.v), lambda p: p[1] * p[2])) AS s FROM U, (SELECT * FROM U WHERE vec_id < 10) c) SELECT vec_id, cluster, round(s, 6) AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, cluster) AS rn FROM S) WHERE rn = 1",
     "cluster_sizes": "SELECT label, count(*) AS n FROM embeddings GROUP BY label",
     "length_histogram": f"WITH {D.LINES} SELECT len(text) + 1 AS value, count(*) AS n FROM L GROUP BY 1",

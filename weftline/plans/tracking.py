@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from weftline.functions import text as T
 from weftline.operators import align as A
 from weftline.operators import catalog as C
 from weftline.operators import logs as G
+from weftline.operators import evaluate as V
 from weftline.operators import merge as M
 from weftline.operators import scorers as S
 from weftline.sources import derived as D
@@ -24,22 +26,95 @@ def _values(columns: str, rows: list[tuple]) -> str:
     return f"({columns}) AS (VALUES " + ", ".join("(" + ", ".join(one(v) for v in r) + ")" for r in rows) + ")"
 
 
-LABELS = [
-    "evaluate-teacher-flores-flores_aug-title_devtest-lt-en-1_2", "evaluate-quantized-mtdata_aug-mix_Neulab-tedtalks_eng-lit-lt-en", "evaluate-finetune-teacher-sacrebleu-wmt19-lt-en-2_2", "train-student-en-hu",
-    "eval_student-finetuned_flores_devtest", "eval_teacher-base0_flores_devtest", "train-backwards-en-ca", "evaluate-teacher-flores-flores_dev-en-ca", "distillation-student-model-train-en-hu", "unrelated-task",
-]
-TASKS = [("t1", "train-student-en-hu", ["failed", "completed"], 10), ("t2", "train-student-en-hu", ["completed"], 30), ("t3", "train-student-en-hu", ["completed", "exception"], 50), ("t4", "train-teacher-en-hu-1", ["completed"], 20), ("t5", "evaluate-student-flores-devtest-en-hu", ["completed"], 40)]
-TRAINING = [("t2", "student"), ("t4", "teacher-1"), ("t9", "backwards")]
-EVALS = [("e1", "student", ["t2", "x"]), ("e2", "teacher-1", ["t2"]), ("e3", "teacher-1", ["t4"]), ("e4", "quantized", ["t7"])]
-CATALOG = [("CCAligned/v1", 5802549, 3, 900), ("Books/v1", 4605, 1, 120), ("CCMatrix/v1", 99000000, 4, 5000), ("tiny/v1", 12, 1, 3), ("WMT-News/v2019", 30000, 2, 44), ("a" * 90, 5000, 2, 44), ("opus_thing", 8000, 2, 7), ("Neulab-tedtalks_train-1-eng-fin", 9000, 2, 9)]
-VISITED = [("NeuLab-TedTalks/v1",), ("Books/v2",)]
-MODELS = [("en", "fr", "1.0", "release"), ("fr", "en", "1.0", "release"), ("en", "de", "2.0a1", "nightly"), ("de", "en", "1.10", "nightly"), ("en", "es", "2.0", "release"), ("es", "en", "2.0a3", "nightly"), ("en", "de", "1.9.1", "release")]
-RUNS = [("r1", ["model.npz", "vocab.spm"]), ("r2", ["model.npz"]), ("r3", ["model.npz", "vocab.spm", "valid.log"]), ("r4", ["other"])]
-SYNC = ([("a",), ("b",), ("c",)], [("b",), ("c",), ("d",)])
+#: How the tables are told as tasks, runs, models and catalogues: by the same rules in DataFrames and in SQL.
+MODELS_OF = ("student", "teacher", "teacher-base", "student-finetuned", "backward", "quantized", "distillation-student-model-train")
+CALLED = ("student", "teacher", "teacher-base", "student-finetune", "backwards", "quantized", "student")
+SETS = ("flores", "mtdata", "sacrebleu")
 
 
-def _frame(spark, rows, schema):
-    return spark.createDataFrame([r if isinstance(r, tuple) else (r,) for r in rows], schema)
+def _pick(names, at):
+    return F.get(F.array(*(F.lit(n) for n in names)), F.pmod(at, F.lit(len(names))).cast("int"))
+
+
+def _picked(names, at: str) -> str:
+    return f"([{', '.join(repr(n) for n in names)}])[({at}) % {len(names)} + 1]"
+
+
+def _label_rows(spark, d):
+    """(event_id, label): labels of training tasks, of evaluations and of neither, from events."""
+    i = F.col("event_id")
+    number = F.when(i % 4 == 1, F.concat(F.lit("-"), (i % 9 + 1).cast("string"))).otherwise("")
+    train = F.concat(F.when(i % 2 == 0, F.lit("train-")).otherwise(""), _pick(MODELS_OF, i), F.lit("-en-hu"), number)
+    importer = _pick(SETS, F.floor(i / 7))
+    twice = F.when(i % 2 == 0, F.concat(F.lit("-"), importer)).otherwise("")
+    aug = F.when(i % 5 == 0, F.lit("aug-mix_")).otherwise("")
+    test = F.concat(F.when(i % 8 < 4, F.lit("evaluate-")).otherwise("eval_"), _pick(MODELS_OF[:6], i), F.lit("-"), importer, twice, F.lit("_"), aug, "event_type", F.lit("-en-hu"), number, F.when(i % 4 == 1, F.lit("_9")).otherwise(""))
+    other = F.concat(F.lit("bicleaner-"), "event_type")
+    return D.read(spark, d, "events").select("event_id", F.when(i % 3 == 0, train).when(i % 3 == 1, test).otherwise(other).alias("label"))
+
+
+LABEL_SQL = f"""B AS (SELECT event_id, event_type, event_id % 3 AS kind, {_picked(CALLED, "event_id")} AS trained, {_picked(CALLED[:6], "event_id")} AS tested, {_picked(SETS, "event_id // 7")} AS importer,
+  CASE WHEN event_id % 4 = 1 THEN (event_id % 9 + 1)::VARCHAR END AS number FROM events),
+K AS (SELECT event_id, CASE kind WHEN 0 THEN trained WHEN 1 THEN tested END AS called, number, CASE WHEN kind = 1 THEN importer END AS importer, CASE WHEN kind = 1 THEN event_type END AS dataset, CASE WHEN kind = 1 AND event_id % 5 = 0 THEN 'aug-mix' END AS augmentation FROM B),
+J AS (SELECT event_id, CASE WHEN called IS NULL THEN NULL WHEN number IS NOT NULL THEN called || '-' || number WHEN called = 'teacher' THEN 'teacher-1' ELSE called END AS model, importer, dataset, augmentation FROM K)"""
+
+
+def _tasks(spark, d):
+    """(task_id, label, states, created): events as tasks of 40 labels, with one to three runs."""
+    i = F.col("event_id")
+    last = F.when(i % 5 == 0, "failed").when(i % 7 == 0, "exception").otherwise("completed")
+    states = F.when(i % 2 == 0, F.array(F.lit("failed"), last)).otherwise(F.array(last))
+    return D.read(spark, d, "events").select(i.cast("string").alias("task_id"), F.concat(F.when(i % 3 == 0, F.lit("train-")).otherwise("score-"), "event_type", F.lit("-"), (F.col("user_id") % 4).cast("string")).alias("label"), states.alias("states"), (i * 7919 % 100_003).alias("created"))
+
+
+TASK_SQL = "T AS (SELECT event_id::VARCHAR AS task_id, CASE WHEN event_id % 3 = 0 THEN 'train-' ELSE 'score-' END || event_type || '-' || (user_id % 4) AS label, event_id % 5 <> 0 AND event_id % 7 <> 0 AS done, event_id * 7919 % 100003 AS created FROM events)"
+
+
+def _training(spark, d):
+    """(task_id, model): orders as training tasks."""
+    return D.read(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("task_id"), F.concat(F.lit("m"), (F.col("o_custkey") % 50).cast("string")).alias("model"))
+
+
+def _evals(spark, d):
+    """(eval_id, model, dependencies): events as evaluations, each of two tasks."""
+    i = F.col("event_id")
+    return D.read(spark, d, "events").select(i.cast("string").alias("eval_id"), F.concat(F.lit("m"), (F.col("user_id") % 60).cast("string")).alias("model"), F.array(i.cast("string"), (i + 1).cast("string")).alias("dependencies"))
+
+
+RUN_SQL = "T AS (SELECT o_orderkey::VARCHAR AS task_id, 'm' || (o_custkey % 50) AS model FROM orders), E AS (SELECT event_id::VARCHAR AS eval_id, 'm' || (user_id % 60) AS model, event_id AS i FROM events)"
+
+
+def _catalog(spark, d):
+    """(name, sentences, size_class, downloads): parts as corpora; some names are listed, some too long."""
+    k, listed = F.col("p_partkey"), F.concat(_pick(C.SKIPPED, F.col("p_partkey")), F.lit("/v"), (F.col("p_partkey") % 3).cast("string"))
+    plain = F.concat(F.lit("corpus-"), F.translate((k % 97).cast("string"), "0123456789", "abcdefghij"), F.when(k % 11 == 0, F.repeat(F.lit("x"), F.lit(90))).otherwise(""), F.when(k % 13 == 0, F.lit("-newstest")).otherwise(""), F.when(k % 2 == 0, F.lit("_train-1-eng-fin")).otherwise("/v1"))
+    return D.read(spark, d, "part").select("p_partkey", F.when(k % 17 == 0, listed).otherwise(plain).alias("name"), (k * 37 % 5000).alias("sentences"), (k % 4).alias("size_class"), (k * 31 % 1009).alias("downloads"))
+
+
+_NAME = "CASE WHEN p_partkey % 17 = 0 THEN " + _picked(C.SKIPPED, "p_partkey") + " || '/v' || (p_partkey % 3) ELSE 'corpus-' || translate((p_partkey % 97)::VARCHAR, '0123456789', 'abcdefghij') || CASE WHEN p_partkey % 11 = 0 THEN repeat('x', 90) ELSE '' END || CASE WHEN p_partkey % 13 = 0 THEN '-newstest' ELSE '' END || CASE WHEN p_partkey % 2 = 0 THEN '_train-1-eng-fin' ELSE '/v1' END END"
+CATALOG_SQL = f"K AS (SELECT p_partkey, {_NAME} AS name, p_partkey * 37 % 5000 AS sentences, p_partkey % 4 AS size_class, p_partkey * 31 % 1009 AS downloads FROM part)"
+
+
+def _models(spark, d):
+    """(src, trg, version, channel): suppliers' parts as models of 30 languages into and out of English."""
+    k, other = F.col("p_partkey"), F.concat(F.lit("l"), (F.col("p_partkey") % 30).cast("string"))
+    version = F.concat_ws(".", (k % 3 + 1).cast("string"), (k % 12).cast("string"), F.when(k % 5 == 0, F.concat((k % 4).cast("string"), F.lit("a"), (k % 3).cast("string"))))
+    return D.read(spark, d, "part").select(F.when(k % 2 == 0, "en").otherwise(other).alias("src"), F.when(k % 2 == 0, other).otherwise("en").alias("trg"), version.alias("version"), F.when(k % 7 < 3, "release").otherwise("nightly").alias("channel"))
+
+
+MODEL_SQL = "M AS (SELECT CASE WHEN p_partkey % 2 = 0 THEN 'en' ELSE 'l' || (p_partkey % 30) END AS src, CASE WHEN p_partkey % 2 = 0 THEN 'l' || (p_partkey % 30) ELSE 'en' END AS trg, (p_partkey % 3 + 1) || '.' || (p_partkey % 12) || CASE WHEN p_partkey % 5 = 0 THEN '.' || (p_partkey % 4) || 'a' || (p_partkey % 3) ELSE '' END AS version, CASE WHEN p_partkey % 7 < 3 THEN 'release' ELSE 'nightly' END AS channel FROM part), ML AS (SELECT *, CASE WHEN src = 'en' THEN trg ELSE src END AS lang FROM M)"
+FILES = ("model.npz", "vocab.spm", "valid.log", "optimizer.npz")
+
+
+def _runs(spark, d):
+    """(run_id, artifacts): customers as runs that hold some files."""
+    k = F.col("c_custkey")
+    held = F.array_compact(F.array(*(F.when(k % m != 0, F.lit(f)) for f, m in zip(FILES, (2, 3, 5, 7), strict=True))))
+    return D.read(spark, d, "customer").select(F.lpad(k.cast("string"), 9, "0").alias("run_id"), held.alias("artifacts"))
+
+
+def _with_lang(models):
+    return models.withColumn("lang", F.when(F.col("src") == "en", F.col("trg")).otherwise(F.col("src")))
 
 
 def _training_lines(spark, d):
@@ -78,22 +153,27 @@ def _metric_lines(spark, d):
 
 
 def _labels(spark, d):
-    return _frame(spark, LABELS, "label string").select("label", *(c.alias(k) for k, c in G.parse_label(F.col("label")).items()))
+    return G.parsed_labels(_label_rows(spark, d)).drop("label")
 
 
 def _metrics(spark, d):
+    """Events as metrics of five models, read from two sources."""
     e = D.read(spark, d, "events").where("value IS NOT NULL").select(F.concat(F.lit("m"), (F.col("user_id") % 5).cast("string")).alias("model"), F.lit("flores").alias("importer"), F.col("event_type").alias("dataset"), F.when(F.col("event_id") % 2 == 0, "aug-mix").alias("augmentation"), F.round("value", 1).alias("bleu_detok"), (F.col("event_id") % 70).cast("double").alias("chrf"), "event_id")
-    return G.metrics_by_model(e.where("event_id < 300").drop("event_id"), e.where("event_id >= 300 AND event_id < 500").drop("event_id"))
+    return G.metrics_by_model(e.where("event_id % 2 = 0").drop("event_id"), e.where("event_id % 2 = 1").drop("event_id"))
 
 
 def _llm_last(spark, d):
-    return D.read(spark, d, "conversations").select("conv_id", "turn", F.trim(F.element_at(F.split(F.trim("text"), "\n"), -1)).alias("answer"))
+    """The last line of an answer, between white space of all kinds."""
+    text = F.concat(F.lit(" \n\t"), "text", F.when(F.col("turn") % 2 == 0, F.lit(" \n\r\n\t ")).otherwise(""))
+    return D.read(spark, d, "conversations").select("conv_id", "turn", T.last_line(text).alias("answer"))
 
 
 def _eval_rows(spark, d):
-    p = G.parse_label(F.col("label"))
-    x = _frame(spark, LABELS, "label string").where(F.col("label").rlike("^eval")).select(p["model"].alias("model"), F.concat_ws("_", p["importer"], p["dataset"]).alias("dataset"), p["augmentation"].alias("aug"))
-    return x
+    """Rows of the evaluations among the labels, with both scores, which are on the lines of a metrics file."""
+    x = G.parsed_labels(_label_rows(spark, d).where(F.col("label").rlike("^eval")))
+    text = F.concat((F.col("event_id") % 60).cast("string"), F.lit(".5\n"), (F.col("event_id") % 80).cast("string"), F.lit(".25\nno subsets"))
+    s = V.metrics_file(text)
+    return x.select("event_id", "model", F.concat_ws("_", "importer", "dataset").alias("dataset"), F.col("augmentation").alias("aug"), s["bleu_detok"].alias("bleu"), s["chrf"].alias("chrf"))
 
 
 def _html(spark, d):
@@ -132,20 +212,21 @@ QUERIES = {
     "log_from_marker": _marker_lines,
     "wall_clock_gaps": _wall,
     "parse_task_label": _labels,
-    "latest_task": lambda s, d: G.latest_task(_frame(s, TASKS, "task_id string, label string, states array<string>, created long"), "^train"),
-    "runs_with_metrics": lambda s, d: G.runs_with_metrics(_frame(s, TRAINING, "task_id string, model string"), _frame(s, EVALS, "eval_id string, model string, dependencies array<string>")),
-    "missing_runs": lambda s, d: G.missing_runs(_frame(s, EVALS, "eval_id string, model string, dependencies array<string>"), _frame(s, TRAINING, "task_id string, model string")),
+    "latest_task": lambda s, d: G.latest_task(_tasks(s, d), "^train"),
+    "earliest_task": lambda s, d: G.latest_task(_tasks(s, d), "^train", earliest=True),
+    "runs_with_metrics": lambda s, d: G.runs_with_metrics(_training(s, d), _evals(s, d)),
+    "missing_runs": lambda s, d: G.missing_runs(_evals(s, d), _training(s, d)),
     "metrics_by_model": _metrics,
     "eval_rows": _eval_rows,
-    "resumable_run": lambda s, d: G.resumable_run(_frame(s, RUNS, "run_id string, artifacts array<string>"), [["model.npz", "vocab.spm"], ["other", "none"]]),
-    "registry_search": lambda s, d: C.search(_frame(s, MODELS, "src string, trg string, version string, channel string"), 'en src:en -channel:nightly unknown:x "rel"'),
-    "catalog_skip_reason": lambda s, d: _frame(s, CATALOG, "name string, sentences long, size_class int, downloads long").select("name", C.skip_reason(F.col("name"), F.col("sentences")).alias("reason")),
-    "catalog_antijoin": lambda s, d: C.not_visited(_frame(s, CATALOG, "name string, sentences long, size_class int, downloads long"), _frame(s, VISITED, "name string")).select("name"),
-    "catalog_sort": lambda s, d: C.by_size(_frame(s, CATALOG, "name string, sentences long, size_class int, downloads long").withColumn("group", F.lit("all"))).select("name", "place"),
-    "version_sort": lambda s, d: C.latest_versions(_frame(s, MODELS, "src string, trg string, version string, channel string").withColumn("lang", F.when(F.col("src") == "en", F.col("trg")).otherwise(F.col("src")))),
-    "model_pairs": lambda s, d: C.model_pairs(_frame(s, MODELS, "src string, trg string, version string, channel string")),
-    "language_counts": lambda s, d: C.language_counts(_frame(s, MODELS, "src string, trg string, version string, channel string").withColumn("lang", F.when(F.col("src") == "en", F.col("trg")).otherwise(F.col("src")))),
-    "record_sync": lambda s, d: M.record_sync(_frame(s, SYNC[0], "id string"), _frame(s, SYNC[1], "id string")),
+    "resumable_run": lambda s, d: G.resumable_run(_runs(s, d), [["model.npz", "vocab.spm"], ["model.npz", "other"]]),
+    "registry_search": lambda s, d: C.search(_models(s, d), 'en src:en -channel:nightly unknown:x "rel"'),
+    "catalog_skip_reason": lambda s, d: _catalog(s, d).select("p_partkey", "name", C.skip_reason(F.col("name"), F.col("sentences")).alias("reason")),
+    "catalog_antijoin": lambda s, d: C.not_visited(_catalog(s, d), _catalog(s, d).where("p_partkey % 29 = 3")).select("p_partkey", "name"),
+    "catalog_sort": lambda s, d: C.by_size(_catalog(s, d), "p_partkey").select("p_partkey", "place"),
+    "version_sort": lambda s, d: C.latest_versions(_with_lang(_models(s, d))),
+    "model_pairs": lambda s, d: C.model_pairs(_models(s, d)),
+    "language_counts": lambda s, d: C.language_counts(_with_lang(_models(s, d))),
+    "record_sync": lambda s, d: M.record_sync(D.read(s, d, "orders").select(F.col("o_orderkey").cast("string").alias("id")), D.read(s, d, "events").select(F.col("event_id").cast("string").alias("id"))),
     "llm_last_line": _llm_last,
     "html_extract_text": _html,
     "map_indices": _map,
@@ -156,13 +237,7 @@ QUERIES = {
     "ext_events_session": lambda s, d: E.sessions(D.read(s, d, "events")),
 }
 
-MODEL_SQL = "M" + _values("src, trg, version, channel", MODELS) + ", ML AS (SELECT *, CASE WHEN src = 'en' THEN trg ELSE src END AS lang FROM M)"
-CATALOG_SQL = "K" + _values("name, sentences, size_class, downloads", CATALOG)
 NORMAL = r"regexp_replace(regexp_replace(lower(regexp_replace(name, '-\w{3}-\w{3}$', '')), '[^a-z]', '', 'g'), 'train$', '')"
-PARSED = [
-    ("teacher-1", "flores", "devtest", "aug-title"), ("quantized", "mtdata", "Neulab-tedtalks_eng-lit", "aug-mix"), ("finetune-teacher-2", "sacrebleu", "wmt19", None), ("student", None, None, None),
-    ("student-finetune", "flores", "devtest", None), ("teacher-base-0", "flores", "devtest", None), ("backwards", None, None, None), ("teacher-1", "flores", "dev", None), ("student", None, None, None), (None, None, None, None),
-]
 WINDOW = "time_bucket(INTERVAL '{}', ts, TIMESTAMP '1970-01-01')"
 
 ORACLES = {
@@ -172,22 +247,23 @@ ORACLES = {
     "log_deltas": "SELECT user_id, event_id, coalesce(event_id - lag(event_id) OVER (PARTITION BY user_id ORDER BY event_id), 0) AS delta FROM events",
     "metrics_from_log": "WITH E AS (SELECT user_id, event_id, CASE WHEN event_id % 5 = 0 THEN NULL ELSE round(abs(value), 2)::DOUBLE END AS v FROM events WHERE value IS NOT NULL), L AS (SELECT *, lead(v, 1) OVER w AS b, lead(v, 2) OVER w AS c FROM E WINDOW w AS (PARTITION BY user_id ORDER BY event_id)) SELECT user_id, arg_min(b, event_id) AS bleu_detok, arg_min(c, event_id) AS chrf FROM L WHERE v IS NULL AND b IS NOT NULL AND c IS NOT NULL GROUP BY user_id",
     "log_from_marker": f"WITH {D.LINES} SELECT doc_id, line_no, CASE WHEN line_no = 1 THEN '[marian] ' ELSE '' END || text AS text FROM (SELECT *, max((line_no = 1 OR contains(text, '[marian]'))::INT) OVER (PARTITION BY doc_id ORDER BY line_no ROWS UNBOUNDED PRECEDING) AS seen FROM L) WHERE seen = 1",
-    "parse_task_label": "WITH K" + _values("label, model, importer, dataset, augmentation", [(a, *b) for a, b in zip(LABELS, PARSED, strict=True)]) + " SELECT * FROM K",
-    "latest_task": "WITH T" + _values("task_id, label, states, created", TASKS) + " SELECT label, arg_max(task_id, created) AS task_id, max(created)::BIGINT AS created FROM T WHERE states[-1] = 'completed' AND regexp_matches(label, '^train') GROUP BY label",
-    "runs_with_metrics": "WITH T" + _values("task_id, model", TRAINING) + ", E" + _values("eval_id, model, dependencies", EVALS) + " SELECT T.task_id, T.model, E.eval_id FROM T LEFT JOIN E ON T.model = E.model AND list_contains(E.dependencies, T.task_id)",
-    "missing_runs": "WITH T" + _values("task_id, model", TRAINING) + ", E" + _values("eval_id, model, dependencies", EVALS) + " SELECT DISTINCT model FROM E WHERE model NOT IN (SELECT model FROM T)",
-    "metrics_by_model": "WITH X AS (SELECT 'm' || (user_id % 5) AS model, concat_ws('/', 'flores', event_type, CASE WHEN event_id % 2 = 0 THEN 'aug-mix' ELSE '-' END, round(value, 1)::DECIMAL(8,2)::VARCHAR, (event_id % 70)::DECIMAL(8,2)::VARCHAR) AS row FROM events WHERE value IS NOT NULL AND event_id < 500) SELECT model, count(*) AS n, string_agg(row, ';' ORDER BY row) AS metrics FROM X GROUP BY model",
-    "eval_rows": "WITH K" + _values("model, dataset, aug", [(m, f"{i}_{x}", a) for (m, i, x, a), n in zip(PARSED, LABELS, strict=True) if n.startswith("eval")]) + " SELECT * FROM K",
-    "resumable_run": "SELECT 'r3' AS run_id",
+    "parse_task_label": f"WITH {LABEL_SQL} SELECT event_id, model, importer, dataset, augmentation FROM J",
+    "latest_task": f"WITH {TASK_SQL}, R AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY created DESC, task_id DESC) AS rn FROM T WHERE done AND label LIKE 'train%') SELECT label, task_id, created FROM R WHERE rn = 1",
+    "earliest_task": f"WITH {TASK_SQL}, R AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY created, task_id) AS rn FROM T WHERE done AND label LIKE 'train%') SELECT label, task_id, created FROM R WHERE rn = 1",
+    "runs_with_metrics": f"WITH {RUN_SQL} SELECT T.task_id, T.model, E.eval_id FROM T LEFT JOIN E ON T.model = E.model AND T.task_id IN (E.i::VARCHAR, (E.i + 1)::VARCHAR)",
+    "missing_runs": f"WITH {RUN_SQL} SELECT DISTINCT model FROM E WHERE model NOT IN (SELECT model FROM T)",
+    "metrics_by_model": "WITH X AS (SELECT 'm' || (user_id % 5) AS model, concat_ws('/', 'flores', event_type, CASE WHEN event_id % 2 = 0 THEN 'aug-mix' ELSE '-' END, round(value, 1)::DECIMAL(8,2)::VARCHAR, (event_id % 70)::DECIMAL(8,2)::VARCHAR) AS row FROM events WHERE value IS NOT NULL) SELECT model, count(*) AS n, string_agg(row, ';' ORDER BY row) AS metrics FROM X GROUP BY model",
+    "eval_rows": f"WITH {LABEL_SQL} SELECT event_id, model, importer || '_' || dataset AS dataset, augmentation AS aug, event_id % 60 + 0.5::DOUBLE AS bleu, event_id % 80 + 0.25::DOUBLE AS chrf FROM J WHERE importer IS NOT NULL",
+    "resumable_run": "SELECT max(lpad(c_custkey::VARCHAR, 9, '0')) AS run_id FROM customer WHERE c_custkey % 2 <> 0 AND c_custkey % 3 <> 0",
     "registry_search": f"WITH {MODEL_SQL} SELECT src, trg, version, channel FROM M WHERE contains(lower(concat_ws(' ', src, trg, version, channel)), 'en') AND contains(lower(concat_ws(' ', src, trg, version, channel)), 'rel') AND contains(src, 'en') AND NOT contains(channel, 'nightly')",
-    "catalog_skip_reason": f"WITH {CATALOG_SQL} SELECT name, CASE WHEN " + " OR ".join(f"contains(name, '{s}')" for s in C.SKIPPED) + " THEN 'skipped' WHEN sentences < 200 THEN 'too_small' WHEN length(name) > 80 THEN 'too_long' END AS reason FROM K",
-    "catalog_antijoin": f"WITH {CATALOG_SQL}, V" + _values("name", VISITED) + f" SELECT name FROM K WHERE NOT contains(lower(name), 'opus') AND NOT contains(lower(name), 'newstest') AND NOT contains(lower(name), 'unv1') AND {NORMAL} NOT IN (SELECT {NORMAL} FROM V)",
-    "catalog_sort": f"WITH {CATALOG_SQL} SELECT name, row_number() OVER (ORDER BY size_class DESC, downloads DESC, name) AS place FROM K",
+    "catalog_skip_reason": f"WITH {CATALOG_SQL} SELECT p_partkey, name, CASE WHEN " + " OR ".join(f"contains(name, '{s}')" for s in C.SKIPPED) + " THEN 'skipped' WHEN sentences < 200 THEN 'too_small' WHEN length(name) > 80 THEN 'too_long' END AS reason FROM K",
+    "catalog_antijoin": f"WITH {CATALOG_SQL} SELECT p_partkey, name FROM K WHERE NOT contains(lower(name), 'opus') AND NOT contains(lower(name), 'newstest') AND NOT contains(lower(name), 'unv1') AND {NORMAL} NOT IN (SELECT {NORMAL} FROM K WHERE p_partkey % 29 = 3)",
+    "catalog_sort": f"WITH {CATALOG_SQL} SELECT p_partkey, row_number() OVER (ORDER BY size_class DESC, downloads DESC, p_partkey) AS place FROM K",
     "version_sort": f"WITH {MODEL_SQL}, S AS (SELECT lang, version, list_concat(list_transform(range(3 - len(string_split(version, '.'))), lambda i: '0'), string_split(version, '.')) AS p FROM ML), O AS (SELECT lang, version, row_number() OVER (PARTITION BY lang ORDER BY p[1]::INT DESC, p[2]::INT DESC, regexp_extract(p[3], '^(\\d+)', 1)::INT DESC, (regexp_extract(p[3], '^\\d+([a-z]\\d?)', 1) = '') DESC, regexp_extract(p[3], '^\\d+([a-z]\\d?)', 1) DESC) AS rn FROM S) SELECT lang, version FROM O WHERE rn = 1",
     "model_pairs": f"WITH {MODEL_SQL} SELECT lang, version, count(*) FILTER (trg = 'en') AS to_pivot, count(*) FILTER (src = 'en') AS from_pivot FROM ML GROUP BY 1, 2",
     "language_counts": f"WITH {MODEL_SQL}, D AS (SELECT DISTINCT channel, lang FROM ML), N AS (SELECT *, count(*) OVER (PARTITION BY lang) AS n FROM D) SELECT channel, count(*) AS languages, count(*) FILTER (n = 1) AS only_here FROM N GROUP BY 1",
-    "record_sync": "WITH L" + _values("id", SYNC[0]) + ", R" + _values("id", SYNC[1]) + " SELECT coalesce(L.id, R.id) AS id, CASE WHEN L.id IS NULL THEN 'create' WHEN R.id IS NULL THEN 'delete' ELSE 'keep' END AS action FROM L FULL JOIN R ON L.id = R.id",
-    "llm_last_line": "SELECT conv_id, turn, trim((string_split(trim(text, ' '), chr(10)))[-1], ' ') AS answer FROM conversations",
+    "record_sync": "SELECT coalesce(L.id, R.id) AS id, CASE WHEN L.id IS NULL THEN 'create' WHEN R.id IS NULL THEN 'delete' ELSE 'keep' END AS action FROM (SELECT DISTINCT o_orderkey::VARCHAR AS id FROM orders) L FULL JOIN (SELECT event_id::VARCHAR AS id FROM events) R ON L.id = R.id",
+    "llm_last_line": "SELECT conv_id, turn, regexp_extract(rtrim(text, ' ' || chr(9) || chr(10) || chr(13)), '[^\\n]*$') AS answer FROM conversations",
     "alignment_remap": f"""WITH {D.PAIRS}, A AS (SELECT pos, list_transform(range(4), lambda i: ((pos + i) % 3)::VARCHAR || '-' || ((line_no + i) % 3)::VARCHAR) AS a FROM P),
 B AS (SELECT pos, list_transform(a, lambda x: (CASE x[1] WHEN '2' THEN '1' ELSE '0' END) || '-' || (CASE x[3] WHEN '2' THEN '1' ELSE '0' END)) AS b FROM A)
 SELECT pos, array_to_string(list_filter(b, lambda x, i: list_position(b, x) = i), ' ') AS aln FROM B""",

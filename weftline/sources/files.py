@@ -30,8 +30,12 @@ def read_lines(spark: SparkSession, locations: str | list[str], path_in_archive:
     parts = []
     if rest:
         raw = spark.read.text(rest, wholetext=False).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"), F.col("value").alias("text"))
-        order = Window.partitionBy("file").orderBy("b", "i")
-        parts.append(raw.select("file", (F.row_number().over(order) - 1).cast("long").alias("line_no"), "text"))
+        # Lines are numbered within the splits of a file, then by the sizes of the splits before.
+        split = Window.partitionBy("file", "b")
+        sizes = raw.groupBy("file", "b").agg(F.count("*").alias("n"), F.min("i").alias("first"))
+        sizes = sizes.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        numbered = raw.withColumn("k", F.row_number().over(split.orderBy("i")) - 1).join(sizes.drop("n", "first"), ["file", "b"])
+        parts.append(numbered.select("file", (F.col("k") + F.col("before")).cast("long").alias("line_no"), "text"))
     if zips:
         parts.append(spark.read.format("binaryFile").load(zips).select("path", "content").mapInArrow(_members(path_in_archive), "file string, line_no long, text string"))
     out = parts[0]
@@ -41,19 +45,28 @@ def read_lines(spark: SparkSession, locations: str | list[str], path_in_archive:
 
 
 def _members(member: str | None):
+    """Lines of one member of each zip, a line at a time: ended by a line feed, a carriage return or both, as Spark's text source has it."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    name = member or z.namelist()[0]
-                    text = z.read(name).decode("utf-8").splitlines()
-                for a in range(0, len(text), 50_000):
-                    own = text[a : a + 50_000]
-                    yield pa.RecordBatch.from_arrays([pa.array([path] * len(own)), pa.array(range(a, a + len(own)), pa.int64()), pa.array(own)], names=["file", "line_no", "text"])
+                with zipfile.ZipFile(io.BytesIO(content)) as z, z.open(member or z.namelist()[0]) as raw:
+                    at, own = 0, []
+                    for line in io.TextIOWrapper(raw, encoding="utf-8", newline=None):
+                        own.append(line.removesuffix("\n"))
+                        if len(own) == 10_000:
+                            yield _rows(path, at, own)
+                            at, own = at + len(own), []
+                    if own:
+                        yield _rows(path, at, own)
 
     return run
 
 
+def _rows(path: str, at: int, lines: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([path] * len(lines)), pa.array(range(at, at + len(lines)), pa.int64()), pa.array(lines)], names=["file", "line_no", "text"])
+
+
 def read_parallel(spark: SparkSession, src: str, trg: str, scores: str | None = None, dataset: str = "") -> DataFrame:
     """(dataset, pos, src, trg, score) of line-aligned files; score is 1 without a score file. Raises on unequal lengths."""
     a, b = (read_lines(spark, x).select("line_no", F.col("text").alias(n)) for x, n in ((src, "src"), (trg, "trg")))
@@ -74,8 +87,17 @@ def shuffled_paths(paths: Iterable[str], seed: int = 0) -> list[str]:
     return sorted(paths, key=lambda p: (hashlib.md5(f"{seed}{p}".encode()).hexdigest(), p))
 
 
-def write_lines(df: DataFrame, path: str, column: str = "text", compression: str = "gzip") -> None:
-    df.select(column).write.text(path, compression=compression)
+#: What marks a file as UTF-8 for programs that look for it.
+BOM = "\ufeff"
+
+
+def write_lines(df: DataFrame, path: str, column: str = "text", compression: str = "gzip", bom: bool = False, order: str | None = None) -> None:
+    """Lines as text; with bom, one file whose first line begins with the mark, which is meant for samples: `order` sorts it."""
+    if not bom:
+        return df.select(column).write.text(path, compression=compression)
+    one = df.coalesce(1).sortWithinPartitions(order) if order else df.coalesce(1)
+    first = F.monotonically_increasing_id() == 0
+    return one.select(F.when(first, F.concat(F.lit(BOM), F.col(column))).otherwise(F.col(column)).alias(column)).write.text(path, compression=compression)
 
 
 def write_tsv(df: DataFrame, path: str, columns: tuple[str, ...] = ("src", "trg"), compression: str = "gzip") -> None:
@@ -83,9 +105,12 @@ def write_tsv(df: DataFrame, path: str, columns: tuple[str, ...] = ("src", "trg"
     df.select(F.concat_ws("\t", *(F.translate(c, "\t", " ") for c in columns)).alias("value")).write.text(path, compression=compression)
 
 
-def write_sample(df: DataFrame, path: str) -> None:
-    """Pairs for reading: source, target and a blank line."""
-    df.select(F.concat("src", F.lit("\n"), "trg", F.lit("\n")).alias("value")).write.text(path)
+def write_sample(df: DataFrame, path: str, n: int = 1000, seed: int = 0) -> None:
+    """A sample of n pairs for reading: source, target and a blank line, behind a UTF-8 mark."""
+    from weftline.operators.sample import bounded
+
+    some = bounded(df, n, seed, F.concat_ws("\t", "src", "trg"))
+    write_lines(some.select(F.concat("src", F.lit("\n"), "trg", F.lit("\n")).alias("text")), path, compression="none", bom=True)
 
 
 def write_stats(df: DataFrame, path: str) -> None:
