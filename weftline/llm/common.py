@@ -69,16 +69,19 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_own_dir}"
 
 
-def stored(df: DataFrame, label: str, partition_by: str | None = None, codec: str = "zstd", **options: str) -> DataFrame:
+def stored(df: DataFrame, label: str, partition_by: str | None = None, codec: str = "zstd", batch_rows: int = BATCH_ROWS, **options: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: lineage ends here, and lost executors lose nothing.
 
-    Shuffle files of the finished write are of no further use and are removed with it.
+    Shuffle files of the finished write are of no further use and are removed with it, and the Arrow batches that go to
+    Python meanwhile are kept low. What a query returns unwritten runs under the caller's own settings instead, and is cut
+    to low batches on the Python side only.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/weftline-{label}-{uuid.uuid4().hex}"
     _scratch.append(path)
     writer = df.write.options(compression=codec, **options)
-    with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+    arrow = {"spark__sql__execution__arrow__maxRecordsPerBatch": str(batch_rows), "spark__sql__execution__arrow__maxBytesPerBatch": str(BATCH_BYTES)}
+    with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true", **arrow):
         (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch_path = path

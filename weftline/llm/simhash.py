@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, map_batches, partitions, ready, row_key, settings, spread, stored, table, texts
+from .common import discard, map_batches, partitions, ready, row_key, spread, stored, table, texts
 from .near_copies import near_copies
 
 SHINGLE = 3
@@ -202,8 +202,7 @@ def local_forests(members: DataFrame, radius: int = RADIUS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in work(held)], names=["a", "b"])
 
     dealt = members.select("fp", "grp").repartition(partitions(spark), "grp").sortWithinPartitions("grp", "fp")
-    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch="20000"):
-        return stored(dealt.mapInArrow(whole_groups, "a long, b long").distinct(), "edges")
+    return stored(dealt.mapInArrow(whole_groups, "a long, b long").distinct(), "edges", batch_rows=20_000)
 
 
 def link_edges(distinct: DataFrame, radius: int = RADIUS, group: int = GROUP) -> DataFrame:
@@ -211,7 +210,7 @@ def link_edges(distinct: DataFrame, radius: int = RADIUS, group: int = GROUP) ->
     members = _sends(distinct.select("fp", F.lit(0).cast("long").alias("grp"), F.lit(-1).cast("long").alias("free")), radius)
     edges, free = None, 64
     while True:
-        members = stored(members, "members")
+        members = stored(members, "members", batch_rows=20_000)
         free -= free // (radius + 1)  # bits that are free now, at most
         sizes = stored(members.groupBy("grp").agg(F.count("*").alias("n")).where(F.col("n") > 1), "groups")
         large = sizes.where(F.col("n") > group)
