@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes of one batch that a Python function sees: whole texts, so both are kept low. A longer text is a batch.
-BATCH_ROWS, BATCH_BYTES = 1024, 16_000_000
+BATCH_ROWS, BATCH_BYTES = 1024, 4_000_000
 #: ASCII blanks: the only separators between words in the contracts of these operators.
 BLANK = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 import regex
 
 #: Pieces that are remembered, and the longest of them.
-LIMIT, LONGEST = 500_000, 48
+LIMIT, LONGEST = 250_000, 48
 #: Up to here, letters and case are the same in every Unicode version.
 LATIN = "ɏ"
 
