@@ -52,7 +52,7 @@ CONCENTRATION = 1.0
 END, BEGIN = np.uint64(0), np.uint64(1)
 BLOCK_TOKENS = 1_000_000
 #: Bytes of text for which a word bucket is made.
-BUCKET_BYTES = 8_000_000
+BUCKET_BYTES = 16_000_000
 #: Customers of a dish up to which its tables are drawn from their exact conditional.
 EXACT = 2048
 _DTYPES = ("<u8", "<u4", "<u2", "<i8", "<f8", "u1")
@@ -139,13 +139,16 @@ def words_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return hashed[solid], kept[ends]
 
 
-def with_ends(words: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(tokens, context of each, number of each token's text): an end after each text."""
-    tokens = np.insert(words, ends, END)
+def with_ends(words: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, number of each token's text): an end after each text."""
+    return np.insert(words, ends, END), np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0) + 1)
+
+
+def contexts_of(tokens: np.ndarray) -> np.ndarray:
+    """The token before each, BEGIN at the start of a text."""
     context = np.append(BEGIN, tokens[:-1])
     context[context == END] = BEGIN
-    sizes = np.diff(ends, prepend=0) + 1
-    return tokens, context, np.repeat(np.arange(len(ends)), sizes)
+    return context
 
 
 def tidy(work):
@@ -178,20 +181,20 @@ def rows(items: list[tuple]) -> pa.RecordBatch:
 def blocks(docs: DataFrame, n: int) -> DataFrame:
     """Kind D: the documents of a block; kind T: its tokens; kind H: counts of the block's words that may be very frequent.
 
-    Tokens stand as numbers of word and context within the row, and as twice the document's number, plus one in training.
+    Tokens stand as numbers of words within the row, in order, so that contexts follow from them, and as twice the
+    document's number, plus one in training.
     """
 
     def flush(block: int, parts: list[tuple]) -> list[tuple]:
         ids, null, train = (np.concatenate([p[i] for p in parts]) for i in range(3))
         shift = np.cumsum([0, *(len(p[0]) for p in parts[:-1])])
-        tokens, context = (np.concatenate([p[i] for p in parts]) for i in (3, 4))
-        doc = np.concatenate([p[5] + s for p, s in zip(parts, shift, strict=True)])
+        tokens = np.concatenate([p[3] for p in parts])
+        doc = np.concatenate([p[4] + s for p, s in zip(parts, shift, strict=True)])
         w, wi, counts = np.unique(tokens, return_inverse=True, return_counts=True)
-        u, ui = np.unique(context, return_inverse=True)
         hot = np.flatnonzero(counts * (8 * n) >= len(tokens))
         out = [
             ("D", 0, block, len(ids), int(train.sum()), pack(ids, null, train.astype(np.uint8), np.bincount(doc, minlength=len(ids)).astype("<u4"))),
-            ("T", 0, block, len(tokens), 0, pack(w, u, narrow(wi), narrow(ui), narrow(np.diff(doc * 2 + train[doc], prepend=0)))),
+            ("T", 0, block, len(tokens), 0, pack(w, narrow(wi), narrow(np.diff(doc * 2 + train[doc], prepend=0)))),
         ]
         return out + [("H", 0, int(w[i].view(np.int64)), int(counts[i]), 0, None) for i in hot.tolist()]
 
@@ -226,8 +229,9 @@ def dealt(tokens: DataFrame, deal: Deal) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 block, payload = batch.column(2)[i].as_py(), batch.column(5)[i].as_py()
-                w, u, wi, ui, marks = unpack(payload)
-                wi, ui, place = wi.astype(np.int64), ui.astype(np.int64), np.cumsum(marks, dtype=np.int64)
+                w, wi, marks = unpack(payload)
+                wi, place = wi.astype(np.int64), np.cumsum(marks, dtype=np.int64)
+                u, ui = np.unique(contexts_of(w[wi]), return_inverse=True)
                 to = deal.buckets(w[wi], u[ui])
                 order = np.argsort(to.astype(np.uint16 if deal.n < 65536 else np.int64), kind="stable")
                 out = []
