@@ -238,4 +238,4 @@ class WordEnd(PieceEncoder):
 @lru_cache(maxsize=4)
 def encoder(kind: str, path: str) -> PieceEncoder:
     """One per worker process and vocabulary, kept between tasks."""
-    return {"byte": ByteLevel, "word": WordEnd}[kind](path)
+    return WordEnd(path, 2 * LIMIT) if kind == "word" else {"byte": ByteLevel}[kind](path)  # words take less room than pieces
