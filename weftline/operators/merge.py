@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,6 +75,19 @@ def zip_by_position(src: DataFrame, trg: DataFrame) -> DataFrame:
     return x.select("dataset", "pos", F.when(F.col("_s") & F.col("_t"), F.col("src")).otherwise(alone).alias("src"), "trg")
 
 
+def zipped(parts: dict[str, DataFrame], by: str = "pos", text: str = "text") -> DataFrame:
+    """(by, one column for each part): any number of line streams side by side, in one shuffle of their union.
+
+    Raises where a stream lacks a line that another has; a null text is a line.
+    """
+    names = list(parts)
+    tagged = [df.select(by, F.lit(i).alias("_part"), F.struct(F.col(text)).alias("_line")) for i, df in enumerate(parts.values())]
+    x = reduce(DataFrame.unionByName, tagged).groupBy(by).agg(*(F.max(F.when(F.col("_part") == i, F.col("_line"))).alias(f"_{i}") for i in range(len(names))))
+    short = F.raise_error(F.concat(F.lit("streams differ in length at "), F.col(by).cast("string")))
+    first = F.when(F.greatest(*(F.isnull(f"_{i}") for i in range(len(names)))), short).otherwise(F.col(f"_0.{text}"))
+    return x.select(by, first.alias(names[0]), *(F.col(f"_{i}.{text}").alias(n) for i, n in enumerate(names) if i))
+
+
 def build_tsv(rows: DataFrame) -> DataFrame:
     """(dataset, pos, line): fields stripped of white space and joined by tabs; rows with an empty alignment are dropped."""
     s, t, a = (strip(F.translate(c, "\t", " ")) for c in ("src", "trg", "aln"))

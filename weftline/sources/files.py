@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import gzip
 import io
+import tarfile
 import zipfile
 from collections.abc import Iterable, Iterator
+from typing import IO
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from weftline.operators.merge import zipped
+
+ARCHIVES = (".zip", ".tar.gz", ".tgz")
 DOCUMENT_SCHEMA = "lang array<string>, doc_scores array<double>, seg_langs array<string>, text string"
 
 
@@ -22,11 +28,11 @@ def resolve(location: str, mocked: dict[str, str] | None = None, lang: str | Non
 def read_lines(spark: SparkSession, locations: str | list[str], path_in_archive: str | None = None) -> DataFrame:
     """(file, line_no, text) of one or many locations, ordered by path and line.
 
-    Plain, gz and zst go through Spark's text source; a zip's member is read on the executors, a file a task.
+    Plain, gz and zst go through Spark's text source; a member of a zip or tar.gz is read on the executors, a file a task.
     """
     locations = [locations] if isinstance(locations, str) else locations
-    zips = [x for x in locations if x.endswith(".zip")]
-    rest = [x for x in locations if not x.endswith(".zip")]
+    zips = [x for x in locations if x.endswith(ARCHIVES)]
+    rest = [x for x in locations if not x.endswith(ARCHIVES)]
     parts = []
     if rest:
         raw = spark.read.text(rest, wholetext=False).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"), F.col("value").alias("text"))
@@ -37,43 +43,66 @@ def read_lines(spark: SparkSession, locations: str | list[str], path_in_archive:
         numbered = raw.withColumn("k", F.row_number().over(split.orderBy("i")) - 1).join(sizes.drop("n", "first"), ["file", "b"])
         parts.append(numbered.select("file", (F.col("k") + F.col("before")).cast("long").alias("line_no"), "text"))
     if zips:
-        parts.append(spark.read.format("binaryFile").load(zips).select("path", "content").mapInArrow(_members(path_in_archive), "file string, line_no long, text string"))
+        parts.append(spark.read.format("binaryFile").load(zips).select("path", "content").mapInArrow(_members(path_in_archive), LINE_SCHEMA))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+LINE_SCHEMA = "file string, line_no long, text string"
+#: What a batch of lines may hold, by either bound.
+LINES_A_BATCH, CHARS_A_BATCH = 10_000, 4 << 20
+
+
+def plain_lines(raw: IO[bytes]) -> Iterator[str]:
+    """Lines ended by a line feed, a carriage return or both, as Spark's text source has it."""
+    for line in io.TextIOWrapper(raw, encoding="utf-8", newline=None):
+        yield line.removesuffix("\n")
+
+
+def tar_lines(raw: IO[bytes], member: str | None) -> Iterator[str]:
+    """Lines of one member, or the first file, of a gzipped tar that is read once from its beginning."""
+    with tarfile.open(fileobj=gzip.GzipFile(fileobj=raw), mode="r:") as tar:
+        for entry in tar:
+            if entry.isfile() and member in (None, entry.name):
+                yield from plain_lines(tar.extractfile(entry))
+                return
+    raise KeyError(f"no file {member!r} in the archive")
+
+
+def _zip_lines(raw: IO[bytes], member: str | None) -> Iterator[str]:
+    with zipfile.ZipFile(raw) as z, z.open(member or z.namelist()[0]) as inner:
+        yield from plain_lines(inner)
+
+
 def _members(member: str | None):
-    """Lines of one member of each zip, a line at a time: ended by a line feed, a carriage return or both, as Spark's text source has it."""
+    """Lines of one member of each archive, a line at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                with zipfile.ZipFile(io.BytesIO(content)) as z, z.open(member or z.namelist()[0]) as raw:
-                    at, own = 0, []
-                    for line in io.TextIOWrapper(raw, encoding="utf-8", newline=None):
-                        own.append(line.removesuffix("\n"))
-                        if len(own) == 10_000:
-                            yield _rows(path, at, own)
-                            at, own = at + len(own), []
-                    if own:
-                        yield _rows(path, at, own)
+                at, own = 0, []
+                for line in (_zip_lines if path.endswith(".zip") else tar_lines)(io.BytesIO(content), member):
+                    own.append(line)
+                    if len(own) == LINES_A_BATCH:
+                        yield rows(path, at, own)
+                        at, own = at + len(own), []
+                if own:
+                    yield rows(path, at, own)
 
     return run
 
 
-def _rows(path: str, at: int, lines: list[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([path] * len(lines)), pa.array(range(at, at + len(lines)), pa.int64()), pa.array(lines)], names=["file", "line_no", "text"])
+def rows(path: str, at: int, lines: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([path] * len(lines)), pa.array(range(at, at + len(lines)), pa.int64()), pa.array(lines, pa.string())], names=["file", "line_no", "text"])
 
 
 def read_parallel(spark: SparkSession, src: str, trg: str, scores: str | None = None, dataset: str = "") -> DataFrame:
     """(dataset, pos, src, trg, score) of line-aligned files; score is 1 without a score file. Raises on unequal lengths."""
-    a, b = (read_lines(spark, x).select("line_no", F.col("text").alias(n)) for x, n in ((src, "src"), (trg, "trg")))
-    out = a.join(b, "line_no", "full")
-    out = out.join(read_lines(spark, scores).select("line_no", F.col("text").cast("double").alias("score")), "line_no", "full") if scores else out.withColumn("score", F.lit(1.0))
-    checked = F.when(F.col("src").isNull() | F.col("trg").isNull() | F.col("score").isNull(), F.raise_error(F.concat(F.lit("files differ in length at line "), F.col("line_no").cast("string")))).otherwise(F.col("src"))
-    return out.select(F.lit(dataset).alias("dataset"), F.col("line_no").alias("pos"), checked.alias("src"), "trg", "score")
+    sides = {"src": src, "trg": trg} | ({"score": scores} if scores else {})
+    out = zipped({k: read_lines(spark, x).select(F.col("line_no").alias("pos"), "text") for k, x in sides.items()})
+    return out.select(F.lit(dataset).alias("dataset"), "pos", "src", "trg", (F.col("score").cast("double") if scores else F.lit(1.0)).alias("score"))
 
 
 def read_documents(spark: SparkSession, paths: str | list[str]) -> DataFrame:
