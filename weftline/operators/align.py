@@ -110,11 +110,16 @@ def concatenated(sentences: DataFrame, by: str, order: str, text: str, gap: str)
     return x.select(by, F.array_join(pieces, "").alias("faithful"), F.array_join(F.transform("x", lambda p: p[text]), " ").alias("spaced"))
 
 
+#: Elements without an end.
+VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
+
+
 def tag_changes(before: Column, after: Column) -> tuple[Column, Column]:
-    """(closed, opened) tags from one stack of open tags to the next: what is beyond their common beginning, closed from within."""
+    """(closed, opened) tags from one stack of open tags to the next: what is beyond their common beginning, closed from
+    within. Elements without an end are opened but never closed."""
     same = F.aggregate(F.zip_with(before, after, lambda a, b: a.eqNullSafe(b)), F.struct(F.lit(0).alias("n"), F.lit(True).alias("on")), lambda s, x: F.struct((s["n"] + F.when(s["on"] & x, 1).otherwise(0)).alias("n"), (s["on"] & x).alias("on")), lambda s: s["n"])
     rest = lambda c: F.slice(c, same + 1, F.greatest(F.size(c) - same, F.lit(0)))
-    return F.reverse(rest(before)), rest(after)
+    return F.reverse(F.filter(rest(before), lambda t: ~F.lower(t).isin(*VOID))), rest(after)
 
 
 def rows_of(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
@@ -123,7 +128,6 @@ def rows_of(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 
 
 class _Text(HTMLParser):
-    VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
     BLOCK = frozenset("address article aside blockquote br dd div dl dt footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table td th tr ul title".split())
 
     def __init__(self) -> None:
@@ -135,7 +139,7 @@ class _Text(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if tag in self.BLOCK:
             self.out.append("\n")
-        if tag not in self.VOID:
+        if tag not in VOID:
             self.open.append(tag)
         self.hidden += tag in ("script", "style")
 
@@ -148,7 +152,7 @@ class _Text(HTMLParser):
                 self.hidden -= self.open.pop() in ("script", "style")
             self.open.pop()
             self.hidden -= tag in ("script", "style")
-        elif tag not in self.VOID:
+        elif tag not in VOID:
             self.sound = False
 
     def handle_data(self, data):
@@ -175,14 +179,90 @@ def extract_text(markup: Column) -> Column:
     return run(markup)
 
 
-def hard_alignment(soft: np.ndarray) -> np.ndarray:
-    """For each target token the source token of the highest probability."""
-    return soft.argmax(axis=1)
+#: Signs that end a word on either side of them, for tokens that go on with the one before.
+BREAKS = "\n ,.(){}[]"
+
+
+def goes_on(before: str, token: str) -> bool:
+    """Whether a token is a further part of the word that the token before is of."""
+    return bool(before) and bool(token) and before[-1] not in BREAKS and token[0] not in BREAKS
+
+
+def hard_alignment(soft: np.ndarray, tokens: list[str] | None = None, tags: list[tuple] | None = None) -> np.ndarray:
+    """For each target token a source token: that of the highest probability, and one for all tokens of a word.
+
+    Within a word, a token's own best takes over from the one so far if its markup holds the former's (tags: open tags of
+    each source token), or if it is at least as likely as the former was for the token before. The last token, the end,
+    goes with the source's end. Without tokens each is aligned on its own.
+    """
+    best = soft.argmax(axis=1)
+    if tokens is None or not len(best):
+        return best
+    tags, start = tags or [()] * soft.shape[1], 0
+    for t in range(1, len(best) - 1):
+        if not goes_on(tokens[t - 1], tokens[t]):
+            start = t
+            continue
+        now, former = best[t], best[t - 1]
+        holds = tags[now][: len(tags[former])] == tags[former]
+        best[start : t + 1] = now if holds or soft[t, now] >= soft[t - 1, former] else former
+    best[-1] = soft.shape[1] - 1
+    return best
+
+
+def shared_bytes(source_side: np.ndarray, target_side: np.ndarray) -> np.ndarray:
+    """(target side x source side): the share of each pivot token's bytes on the target side within each one on the source side.
+
+    Both sides: (n, 2) begins and ends of tokens of one text. Empty tokens, as ends are, go with equal ones.
+    """
+    begin = np.maximum(target_side[:, None, 0], source_side[None, :, 0])
+    end = np.minimum(target_side[:, None, 1], source_side[None, :, 1])
+    size = (target_side[:, 1] - target_side[:, 0])[:, None]
+    equal = (target_side[:, None] == source_side[None]).all(axis=2)
+    return np.where(size > 0, np.clip(end - begin, 0, None) / np.maximum(size, 1), equal)
+
+
+def compose(first: np.ndarray, second: np.ndarray, source_side: np.ndarray | None = None, target_side: np.ndarray | None = None) -> np.ndarray:
+    """P(source | target) through a pivot: the product of both steps, by way of the bytes that both models' tokens of the
+    pivot text share where they cut it differently."""
+    return second @ first if source_side is None else second @ shared_bytes(source_side, target_side) @ first
+
+
+def word_ranges(tokens: list[str]) -> list[tuple[int, int]]:
+    """First and last-but-one token of each word: words begin with white space; the last token, the end, is of none."""
+    n = len(tokens) - 1
+    starts = [i for i in range(n) if i == 0 or tokens[i][:1].isspace()]
+    return list(zip(starts, [*starts[1:], n], strict=True)) if starts else []
+
+
+def word_features(log_probs: np.ndarray, ranges: list[tuple[int, int]]) -> np.ndarray:
+    """(words x 4): mean and least log-probability of a word's tokens, their number, and the mean over all words' tokens."""
+    if not ranges:
+        return np.zeros((0, 4))
+    starts, ends = np.array(ranges).T
+    inner = np.asarray(log_probs, float)[: ends[-1]]
+    n = ends - starts
+    return np.column_stack([np.add.reduceat(inner, starts) / n, np.minimum.reduceat(inner, starts), n, np.full(len(n), inner.mean())])
+
+
+def word_quality(tokens: Column, log_probs: Column, model: dict | None = None) -> Column:
+    """A struct of words (first token, token behind the last, score) and the sentence's score, the mean of its words'.
+
+    Without a model the score is the mean log-probability; with one (coefficients, intercept, scale, mean) quality_scores.
+    Texts without words have an empty list and no score.
+    """
 
+    @F.pandas_udf("words array<struct<begin:int,end:int,score:double>>, score double")
+    def run(t: pd.Series, p: pd.Series) -> pd.DataFrame:
+        out = []
+        for own, probs in zip(t, p, strict=True):
+            ranges = word_ranges(list(own)) if own is not None and probs is not None else []
+            f = word_features(probs, ranges)
+            scores = quality_scores(f, **model) if model and ranges else f[:, 0]
+            out.append(([{"begin": a, "end": b, "score": float(x)} for (a, b), x in zip(ranges, scores, strict=True)], float(scores.mean()) if ranges else None))
+        return pd.DataFrame(out, columns=["words", "score"])
 
-def compose(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """P(source | target) through a pivot: the product of both steps."""
-    return second @ first
+    return run(tokens, log_probs)
 
 
 def quality_scores(features: np.ndarray, coefficients: np.ndarray, intercept: float, scale: np.ndarray, mean: np.ndarray) -> np.ndarray:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -105,5 +107,36 @@ def merged_config(left: Column, right: Column) -> Column:
 
 
 def listed(df: DataFrame, name: str, excluded: list[str]) -> DataFrame:
-    """(name): distinct names without those excluded, in order."""
-    return df.select(name).distinct().where(~F.col(name).isin(*excluded)).orderBy(name)
+    """(name): distinct names in order, without those that hold an excluded string in any case."""
+    kept = df.where(~reduce(Column.__or__, (F.contains(F.lower(name), F.lit(x.lower())) for x in excluded))) if excluded else df
+    return kept.select(name).distinct().orderBy(name)
+
+
+def table_lines(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(line): rows as text in columns of equal width; widths come from one aggregate, nothing is collected."""
+    shown = df.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns))
+    width = shown.agg(*(F.greatest(F.max(F.length(c)), F.lit(len(c))).alias(f"_{c}") for c in columns))
+    return shown.crossJoin(F.broadcast(width)).select(F.concat_ws(" ", *(F.rpad(c, F.col(f"_{c}"), F.lit(" ")) for c in columns)).alias("line"))
+
+
+def by_text(df: DataFrame, column: str, down: bool = False) -> DataFrame:
+    """Rows in the order of a column's text, either way; nulls come as empty texts."""
+    key = F.coalesce(F.col(column).cast("string"), F.lit(""))
+    return df.orderBy(key.desc() if down else key.asc())
+
+
+def usable_sources(df: DataFrame, pair: str, lang_pair: str = "lp", bad: str = "is_bad_source") -> DataFrame:
+    """Rows of one language pair whose source isn't marked as bad; rows without a mark go too."""
+    return df.where(~F.col(bad) & (F.col(lang_pair) == pair))
+
+
+CORPORA = "corpora array<struct<corpus string, version string, source string, target string, alignment_pairs long, size long, url string>>"
+
+
+def opus_entries(answers: DataFrame, column: str = "value") -> DataFrame:
+    """A row each of the corpora in a catalogue's JSON answers: (corpus, version, source, target, alignment_pairs, size, url, key).
+
+    Entries without pairs are no corpora and go; key is 'opus_<corpus>/<version>'. Answers that aren't JSON give no rows.
+    """
+    e = answers.select(F.explode(F.from_json(column, CORPORA)["corpora"]).alias("e")).select("e.*").where("alignment_pairs > 0")
+    return e.withColumn("key", F.concat(F.lit("opus_"), "corpus", F.lit("/"), "version"))

@@ -191,22 +191,11 @@ def resumable_run(runs: DataFrame, required: list[list[str]]) -> DataFrame:
 
 
 def gap_corrected(times: DataFrame, run: str, order: str, at: str, most: float = 1200.0) -> DataFrame:
-    """df with `wall`: seconds since each run's start, where a gap above `most` counts as the mean of the gaps before it.
-
-    A fold over a run's own rows, so it needs the rows of one run together.
-    """
-
-    def fold(pdf):
-        pdf = pdf.sort_values(order)
-        total, gaps, out, last = 0.0, [], [], None
-        for t in pdf[at]:
-            if last is not None:
-                gap = float(t - last)
-                gap = gap if gap <= most else (sum(gaps) / len(gaps) if gaps else 0.0)
-                gaps.append(gap)
-                total += gap
-            out.append(total)
-            last = t
-        return pdf.assign(wall=out)
-
-    return times.groupBy(run).applyInPandas(fold, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in times.schema)}, wall double")
+    """df with `wall`: seconds since each run's start, where a gap above `most` counts as the mean of the lesser gaps before
+    it, or as nothing where there are none. All its windows share one sort of the run's rows."""
+    w = Window.partitionBy(run).orderBy(order)
+    gap = (F.col(at) - F.lag(at).over(w)).cast("double")
+    d = times.withColumn("_gap", gap)
+    mean = F.avg(F.when(F.col("_gap") <= most, F.col("_gap"))).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    d = d.withColumn("_gap", F.when(F.col("_gap") > most, F.coalesce(mean, F.lit(0.0))).otherwise(F.col("_gap")))
+    return d.withColumn("wall", F.coalesce(F.sum("_gap").over(w.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0.0))).drop("_gap")
