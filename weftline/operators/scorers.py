@@ -18,14 +18,19 @@ class Tokenizer(Protocol):
     def detokenize(self, tokens: Column) -> Column: ...
 
 
+def drawn(text: Column) -> Column:
+    """A number in [0, 1) from a text: the first 32 bits of its MD5."""
+    return F.conv(F.left(F.md5(text), F.lit(8)), 16, 10).cast("long") / F.lit(float(1 << 32))
+
+
 class DigestScorer:
-    """A number in [0, 1) from the columns' content: deterministic, for tests and dry runs."""
+    """A number in [0, 1) from the columns' content, four decimals: deterministic, for tests and dry runs. Nulls are left out."""
 
     def __init__(self, seed: int = 0) -> None:
         self.seed = seed
 
     def __call__(self, *columns: Column) -> Column:
-        return F.pmod(F.xxhash64(F.lit(self.seed), *columns), F.lit(10_000)) / F.lit(10_000.0)
+        return F.floor(drawn(F.concat_ws("\t", F.lit(str(self.seed)), *columns)) * 10_000) / F.lit(10_000.0)
 
 
 class SpaceTokenizer:
@@ -84,7 +89,7 @@ def script_of(lang: Column) -> dict[str, Column]:
 
 def _chance(key: Column, seed: int, what: str) -> Column:
     """A number in [0, 1) that depends on the key, the seed and what it is for."""
-    return F.pmod(F.xxhash64(F.lit(f"{seed}:{what}"), key), F.lit(1_000_000)) / F.lit(1_000_000.0)
+    return drawn(F.concat_ws(":", F.lit(str(seed)), F.lit(what), key.cast("string")))
 
 
 def typos(df: DataFrame, column: str, key: str, seed: int = 0, kinds: int = 4) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import cleaning, evaluating, merging, tracking
+from . import cleaning, evaluating, forms, merging, tracking
 
-QUERIES = {**merging.QUERIES, **cleaning.QUERIES, **tracking.QUERIES, **evaluating.QUERIES}
-ORACLES = {**merging.ORACLES, **cleaning.ORACLES, **tracking.ORACLES, **evaluating.ORACLES}
+QUERIES = {**merging.QUERIES, **cleaning.QUERIES, **tracking.QUERIES, **evaluating.QUERIES, **forms.QUERIES}
+ORACLES = {**merging.ORACLES, **cleaning.ORACLES, **tracking.ORACLES, **evaluating.ORACLES, **forms.ORACLES}

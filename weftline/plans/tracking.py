@@ -200,7 +200,7 @@ def _remap(spark, d):
 
 def _wall(spark, d):
     e = D.read(spark, d, "events").select("user_id", "event_id", F.unix_timestamp("ts").alias("at"))
-    return G.gap_corrected(e, "user_id", "event_id", "at")
+    return G.gap_corrected(e, "user_id", "event_id", "at").withColumn("wall", F.round("wall", 4))
 
 
 QUERIES = {
