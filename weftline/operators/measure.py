@@ -49,10 +49,10 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def normalized(vector: Column) -> Column:
-    """The vector at unit length; a zero vector stays."""
+    """The vector at unit length; a zero vector stays. The norm stands outside the lambda, which would work it out for each number."""
     v = F.transform(vector, lambda x: x.cast("double"))
     norm = F.sqrt(dot(v, v))
-    return F.when(norm == 0, v).otherwise(F.transform(v, lambda x: x / norm))
+    return F.when(norm == 0, v).otherwise(F.zip_with(v, F.array_repeat(norm, F.size(v)), lambda x, n: x / n))
 
 
 #: Numbers that a matrix of centroids may hold: 5,000 of 1,024 dimensions and more, 64 MB as doubles.
@@ -91,7 +91,7 @@ def mean_pooled(tokens: Column, mask: Column) -> Column:
     """Mean of the token vectors whose mask is 1, at unit length. tokens: array of vectors; mask: array of 0 and 1."""
     kept = F.transform(F.filter(F.arrays_zip(tokens.alias("v"), mask.alias("m")), lambda x: x["m"] == 1), lambda x: F.transform(x["v"], lambda y: y.cast("double")))
     total = F.aggregate(F.slice(kept, 2, F.greatest(F.size(kept) - 1, F.lit(0))), F.get(kept, F.lit(0)), lambda a, v: F.zip_with(a, v, lambda x, y: x + y))
-    return normalized(F.transform(total, lambda x: x / F.size(kept)))
+    return normalized(total)  # the number of vectors cancels out
 
 
 def size_percentiles(sizes: DataFrame, points: tuple[float, ...] = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)) -> DataFrame:
