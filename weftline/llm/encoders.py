@@ -25,8 +25,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
-#: Pieces that are remembered, and the longest of them.
-LIMIT, LONGEST = 250_000, 48
+#: Pieces that are remembered, and the longest of them. Byte-level pieces are quick to merge: more than so many gain nothing.
+LIMIT, BYTE_LIMIT, LONGEST = 250_000, 50_000, 48
 #: Up to here, letters and case are the same in every Unicode version.
 LATIN = "ɏ"
 
@@ -109,12 +109,14 @@ class PieceEncoder:
         new = [i for i, v in enumerate(values) if v is None]
         if new:
             fresh = [pieces[i] for i in new]
+            if len(known) + len(new) > self.limit:
+                known.clear()
+            room = self.limit - len(known)
             for i, p, v in zip(new, fresh, self.learn(fresh), strict=True):
                 values[i] = v
-                if len(p) <= LONGEST:
+                if room and len(p) <= LONGEST:
                     known[p] = v
-            if len(known) > self.limit:
-                known.clear()
+                    room -= 1
         return values
 
     def encode(self, column: pa.Array) -> Encoded:
@@ -164,7 +166,7 @@ def _slices(ids: np.ndarray, starts: np.ndarray) -> list[bytes]:
 class ByteLevel(PieceEncoder):
     """Byte-level BPE in a tokenizers file."""
 
-    def __init__(self, path: str, limit: int = LIMIT) -> None:
+    def __init__(self, path: str, limit: int = BYTE_LIMIT) -> None:
         super().__init__(limit)
         import public_tokenizers
         import tiktoken
