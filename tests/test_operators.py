@@ -2,6 +2,7 @@
 
 from collections import Counter
 
+import re
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -120,6 +121,32 @@ def test_batched_bleu_equals_the_plain_one():
     assert rank.bleu_batch(a, b) == pytest.approx([rank.bleu(x or "", y or "") for x, y in zip(a, b, strict=True)], abs=1e-12)
 
 
+@pytest.mark.parametrize("piece", [rank.PIECE, 700])
+def test_batched_chrf_equals_the_plain_one(monkeypatch, piece):
+    """Changed copies, unlike texts, nulls, blanks and many different signs; texts in one piece and in several."""
+    import pandas as pd
+
+    monkeypatch.setattr(rank, "PIECE", piece)
+    rng = np.random.default_rng(3)
+    made = ["".join(rng.choice(list("abAB c\u3000\n\U0001f600"), rng.integers(0, 50))) for _ in range(600)]
+    changed = [t[:20].lower() + t[21:] if i % 2 else made[i * 7 % 600] for i, t in enumerate(made)]
+    many = ["".join(map(chr, rng.integers(0x4E00, 0x9000, 300))) for _ in range(20)]
+    a = pd.Series([*made, *many, None, "x", None])
+    b = pd.Series([*changed, *("".join(rng.permutation(list(t))) + t[5:40] for t in many), "y", None, None])
+    assert rank.chrf_batch(a, b) == pytest.approx([rank.chrf(x or "", y or "") for x, y in zip(a, b, strict=True)], abs=1e-12)
+    assert rank.bleu_batch(a, b) == pytest.approx([rank.bleu(x or "", y or "") for x, y in zip(a, b, strict=True)], abs=1e-12)
+    assert "chrf" in rank.BATCHED and not len(rank.chrf_batch(a[:0], b[:0]))
+
+
+def test_only_the_metrics_asked_for_are_counted(spark):
+    df = spark.createDataFrame([("p", "a b c d e", "a b c d f"), ("q", "no", "one two"), ("q", None, "a")], "k string, hyp string, ref string")
+    both = {r.k: r for r in evaluate.corpus_scores(df, "k").collect()}
+    for name in ("bleu", "chrf"):
+        got = evaluate.corpus_scores(df, "k", metrics=(name,))
+        assert got.columns == ["k", "lines", name]
+        assert {r.k: r[name] for r in got.collect()} == {k: r[name] for k, r in both.items()}
+
+
 def test_corpus_scores(spark):
     """Sums over the corpus, not means of sentences; a perfect corpus has 100 of both."""
     df = spark.createDataFrame([("p", "a b c d e", "a b c d e"), ("p", "u v w x", "u v w x"), ("q", "a b c d x", "a b c d e f"), ("q", "no", "one two"), ("r", "z", "a")], "k string, hyp string, ref string")
@@ -418,3 +445,32 @@ def test_stream_assembles(spark, tmp_path):
     q = assemble_stream(lines, None).writeStream.format("memory").queryName("assembled").option("checkpointLocation", str(tmp_path / "ck")).outputMode("append").trigger(availableNow=True).start()
     assert q.awaitTermination(120)
     assert [tuple(r) for r in spark.sql("select epoch, up, chrf from assembled").collect()] == [(1, 500, 500.5)]
+
+
+def test_mono_rules_by_table_equal_plain_python(spark):
+    """Each rule against str methods on odd white space, signs and languages; the rule is worked out once, without regexes."""
+    rng, known = np.random.default_rng(1), list("aéßZ1.-?  \t\x1c\x85\xa0　​漢\U0001f600")
+    rows = [("".join(rng.choice(known, rng.integers(0, 25))), ["en", "de", "fr", "es", "zh", "xx", None][i % 7]) for i in range(3000)]
+    rows += [(None, "en"), ("a b", None), ("a " * 150, "en"), ("a " * 151, "en"), ("漢" * 151, "ja"), ("漢", "ko")]
+
+    def plain(text, lang):
+        if text is None:
+            return None
+        t = text.strip()
+        words = list(t) if lang in clean.BY_CHARACTER else t.split()
+        if not t:
+            return "EMPTY"
+        if not 2 <= len(words) <= 150:
+            return "TOO_SHORT" if len(words) < 2 else "TOO_LONG"
+        if lang in clean.ALPHABETS:
+            letter = re.compile(f"[{clean.ALPHABETS[lang]}]")
+            if sum(bool(letter.match(w)) for w in words) / len(words) < 0.4:
+                return "RATIO_ALPHA"
+            if len(letter.findall(t)) / len(t.replace(" ", "")) < 0.5:
+                return "RATIO_CHARS"
+        return None
+
+    df = clean.mono_reasons(spark.createDataFrame(rows, "text string, lang string"))
+    assert [r.reason for r in df.collect()] == [plain(*r) for r in rows]
+    plan = df.where("coalesce(reason, 'KEPT') = 'KEPT'")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 1 and "regexp" not in plan

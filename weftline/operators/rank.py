@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from weftline.functions.text import words
 
 ORDERS = 4
+#: Words or characters of both sides that are counted at once.
+PIECE = 500_000
 
 
 def parse_nbest(lines: DataFrame, column: str = "text") -> DataFrame:
@@ -56,45 +58,109 @@ def chrf(hyp: str, ref: str, order: int = 6, beta: float = 2.0) -> float:
 METRICS = {"bleu": bleu, "chrf": chrf}
 
 
-def _numbered(texts: pd.Series, number: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """(numbers of the words of all texts, words of each text)."""
-    lists = [(t or "").split() for t in texts]
-    ids = np.fromiter((number.setdefault(w, len(number)) for x in lists for w in x), np.int64)
-    return ids, np.fromiter(map(len, lists), np.int64, len(lists))
+def _numbered(sides: list[list[list[str]]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(numbers of the words of all texts, words of each text) of both sides."""
+    number: dict[str, int] = {}
+    flat = [np.fromiter((number.setdefault(w, len(number)) for x in side for w in x), np.int64) for side in sides]
+    return [(ids, np.fromiter(map(len, side), np.int64, len(side))) for ids, side in zip(flat, sides, strict=True)]
+
+
+def _lettered(sides: list[list[str]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(numbers of the characters of all texts, characters of each text) of both sides."""
+    points = [np.frombuffer("".join(x).encode("utf-32-le", "surrogatepass"), "<u4") for x in sides]
+    known = np.zeros(max(int(x.max(initial=0)) for x in points) + 1, bool)
+    for x in points:
+        known[x] = True
+    number = np.cumsum(known) - 1
+    return [(number[x], np.fromiter(map(len, t), np.int64, len(t))) for x, t in zip(points, sides, strict=True)]
+
 
+def clipped(h: tuple[np.ndarray, np.ndarray], r: tuple[np.ndarray, np.ndarray], orders: int) -> np.ndarray:
+    """Clipped n-gram matches of each row, exactly: [order - 1, row]. h, r: numbers of all rows' symbols, symbols of each row.
 
-def _matches(h: tuple[np.ndarray, np.ndarray], r: tuple[np.ndarray, np.ndarray], n: int) -> np.ndarray:
-    """Clipped n-gram matches of each row: n-grams are numbered exactly, then counted by row on both sides."""
-    both = [np.stack([i[k : len(i) - n + 1 + k] for k in range(n)], axis=1) if len(i) >= n else np.zeros((0, n), np.int64) for i in (h[0], r[0])]
-    rows = [np.repeat(np.arange(len(s)), s)[: len(g)] for (_, s), g in zip((h, r), both, strict=True)]
-    inside = [row == np.repeat(np.arange(len(s)), s)[n - 1 :][: len(row)] for row, (_, s) in zip(rows, (h, r), strict=True)]
-    grams, where = np.concatenate([g[k] for g, k in zip(both, inside, strict=True)]), np.concatenate([x[k] for x, k in zip(rows, inside, strict=True)])
-    side = np.concatenate([np.zeros(int(inside[0].sum()), np.int64), np.ones(int(inside[1].sum()), np.int64)])
-    code = where
-    for k in range(n):  # (row, words so far) as one number
-        code = np.unique(code * (int(grams[:, k].max(initial=0)) + 1) + grams[:, k], return_inverse=True)[1]
-    counts = np.zeros((2, int(code.max(initial=-1)) + 1), np.int64)
-    np.add.at(counts, (side, code), 1)
-    row = np.zeros(counts.shape[1], np.int64)
-    row[code] = where
-    return np.bincount(row, np.minimum(counts[0], counts[1]), len(h[1])).astype(np.int64)
+    An n-gram that stands at the same place on both sides is a match and takes one from both counts. Only what is left
+    is counted, and only of rows where both sides have something left.
+    """
+    (hi, hs), (ri, rs) = h, r
+    rows = len(hs)
+    out = np.zeros((orders, rows), np.int64)
+    ends, row = [np.cumsum(x) for x in (hs, rs)], [np.repeat(np.arange(rows), x) for x in (hs, rs)]
+    left = [e[w] - np.arange(len(w)) for e, w in zip(ends, row, strict=True)]
+    both = np.minimum(hs, rs)
+    inner = np.arange(int(both.sum())) - np.repeat(np.cumsum(both) - both, both)
+    at = [np.repeat(e - x, both) + inner for e, x in zip(ends, (hs, rs), strict=True)]
+    same = np.zeros(len(hi) + orders, bool)
+    same[at[0]] = hi[at[0]] == ri[at[1]]
+    paired = np.ones(len(hi), bool)
+    signs = int(max(hi.max(initial=0), ri.max(initial=0))) + 1
+    for n in range(1, orders + 1):
+        paired = paired & same[n - 1 : n - 1 + len(hi)] & (left[0] >= n)
+        total = np.append(0, np.cumsum(paired))
+        out[n - 1] = total[ends[0]] - total[ends[0] - hs]
+        over = (np.maximum(hs - n + 1, 0) > out[n - 1]) & (np.maximum(rs - n + 1, 0) > out[n - 1])
+        if not over.any():
+            continue
+        taken = np.zeros(len(ri), bool)
+        taken[at[1]] = paired[at[0]]
+        rest = [np.flatnonzero((x >= n) & ~t & over[w]) for x, t, w in zip(left, (paired, taken), row, strict=True)]
+        where = np.concatenate([w[x] for w, x in zip(row, rest, strict=True)])
+        side = np.repeat(np.array([0, 1]), [len(x) for x in rest])
+        code, span = where, rows
+        for k in range(n):  # (row, symbols so far) as one number, in the order of rows
+            if span * signs >= 1 << 62:
+                distinct, code = np.unique(code, return_inverse=True)
+                span = len(distinct)
+            code, span = code * signs + np.concatenate([x[y + k] for x, y in zip((hi, ri), rest, strict=True)]), span * signs
+        key = np.sort(code << 1 | side)
+        first = np.flatnonzero(np.append(True, key[1:] >> 1 != key[:-1] >> 1))
+        on_ref = np.add.reduceat(key & 1, first)
+        matches = np.minimum(on_ref, np.diff(np.append(first, len(key))) - on_ref)
+        out[n - 1] += np.bincount(np.sort(where)[first], matches, rows).astype(np.int64)
+    return out
+
+
+def ngram_matches(hyps: pd.Series, refs: pd.Series, orders: int, characters: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols of hyps, symbols of refs, clipped matches [order - 1, row]); symbols are words, or characters without spaces."""
+    words = [[(t or "").split() for t in x] for x in (hyps, refs)]
+    h, r = [["".join(t) for t in x] for x in words] if characters else words
+    sizes = [np.fromiter(map(len, x), np.int64, len(x)) for x in (h, r)]
+    # Of a text that the other one holds as a whole, every n-gram matches.
+    held = [x in y or y in x if characters else x == y[: len(x)] for x, y in zip(h, r, strict=True)]
+    least = np.minimum(*sizes)
+    out = np.stack([np.maximum(least - n, 0) for n in range(orders)])
+    rest = np.flatnonzero(~np.array(held, bool))
+    cuts = np.flatnonzero(np.diff(np.cumsum((sizes[0] + sizes[1])[rest]) // PIECE)) + 1
+    for part in np.split(rest, cuts):
+        if len(part):
+            out[:, part] = clipped(*(_lettered if characters else _numbered)([[x[i] for i in part] for x in (h, r)]), orders)
+    return *sizes, out
 
 
 def bleu_batch(hyps: pd.Series, refs: pd.Series) -> np.ndarray:
     """bleu() of all rows of a batch at once."""
-    number: dict[str, int] = {}
-    h, r = _numbered(hyps, number), _numbered(refs, number)
-    a, b = h[1].astype(float), r[1].astype(float)
+    h, r, matches = ngram_matches(hyps, refs, ORDERS)
+    a, b = h.astype(float), r.astype(float)
     logs = np.zeros(len(a))
     for n in range(1, ORDERS + 1):
-        logs += np.log((_matches(h, r, n) + 1.0) / np.maximum(a - n + 2.0, 1.0))
+        logs += np.log((matches[n - 1] + 1.0) / np.maximum(a - n + 2.0, 1.0))
     with np.errstate(divide="ignore", invalid="ignore"):
         brevity = np.where((b == 0) | (a > b), 1.0, np.exp(1 - b / a))
     return np.where(a < ORDERS, 0.0, np.exp(logs / ORDERS) * brevity)
 
 
+def chrf_batch(hyps: pd.Series, refs: pd.Series, order: int = 6, beta: float = 2.0) -> np.ndarray:
+    """chrf() of all rows of a batch at once."""
+    h, r, matches = ngram_matches(hyps, refs, order, True)
+    total = np.zeros(len(h))
+    for n in range(1, order + 1):
+        p, q = matches[n - 1] / np.maximum(h - n + 1, 1), matches[n - 1] / np.maximum(r - n + 1, 1)
+        total += np.where(matches[n - 1] > 0, (1 + beta**2) * p * q / np.where(matches[n - 1] > 0, beta**2 * p + q, 1.0), 0.0)
+    scores = np.minimum(order, np.minimum(h, r))
+    return np.where(scores > 0, total / np.maximum(scores, 1), 0.0)
+
+
 #: Metrics that are worked out for a whole batch at once.
-BATCHED = {"bleu": bleu_batch}
+BATCHED = {"bleu": bleu_batch, "chrf": chrf_batch}
 
 
 def candidate_score(hyp: Column, ref: Column, metric: str = "bleu") -> Column:
