@@ -37,11 +37,11 @@ def _word(n):
 
 def _corpus_bleu(spark, d):
     c = D.candidates(spark, d).where("rank < 2")
-    return V.corpus_scores(c, "rank").select("rank", "lines", F.round("bleu", 6).alias("bleu"))
+    return V.corpus_scores(c, "rank", metrics=("bleu",)).select("rank", "lines", F.round("bleu", 6).alias("bleu"))
 
 
 def _corpus_chrf(spark, d):
-    return V.corpus_scores(D.candidates(spark, d), "rank").select("rank", F.round("chrf", 6).alias("chrf"))
+    return V.corpus_scores(D.candidates(spark, d), "rank", metrics=("chrf",)).select("rank", F.round("chrf", 6).alias("chrf"))
 
 
 def _metrics_files(spark, d):
