@@ -1,7 +1,8 @@
 """The cleaning pipeline: STAGES over `documents`, each stage written as Parquet and reread as the next one's input.
 
 Every stage but the last keeps the columns of documents. Near duplicates are documents whose five-word shingles have a
-Jaccard similarity of 0.8 or more (near_copies.py), not op8's three of 64 bits; the stage keeps its name.
+Jaccard similarity of 0.8 or more (near_copies.py): candidates are SimHash's at three of 64 bits, by op8's bit-sliced
+comparison, and then those of MinHash bands, since most pairs at 0.8 differ in more bits.
 ORACLE_SQL is None: learned weights, hashed n-grams, fingerprints and packing aren't expressible in SQL;
 tests/llm/test_stages.py holds every stage and run() against brute force instead.
 """

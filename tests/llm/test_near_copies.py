@@ -90,3 +90,23 @@ def test_links_across_a_group():
     assert near_copies.group_links(sets, np.arange(4)) == [(0, 1), (1, 2)]
     assert near_copies.group_links(sets, np.array([5, 5, 7, 9])) == [(1, 2)]
     assert near_copies.group_links(sets[:1], np.arange(1)) == []
+
+
+def test_simhash_candidates_alone(spark, monkeypatch):
+    """Without a band in use, what links at three bits of SimHash is found still, and checked: alike bits alone are no link."""
+    from pyspark.sql import functions as F
+
+    ready(spark)
+    base = [f"w{i}" for i in range(400)]
+    texts = [" ".join(base), " ".join([*base[:-1], "other"]), " ".join(f"u{i}" for i in range(400)), "three words only"]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], SCHEMA)
+    marked = near_copies.signatures(docs).withColumn("bands", F.array(F.col("sid")))
+    prints = {r.doc_id: r.fp & (1 << 64) - 1 for r in marked.collect()}
+    for i, t in enumerate(texts):
+        found = near_copies.shingles(t).tolist()
+        assert prints[i] == sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in found) > len(found))
+    assert (prints[0] ^ prints[1]).bit_count() <= 3 and near_copies.fingerprint(np.zeros(0, np.uint64)) == 0
+    monkeypatch.setattr(near_copies, "signatures", lambda *_: marked)
+    assert {r.doc_id: r.component_id for r in near_copies.near_copies(docs).collect()} == {0: 0, 1: 0, 2: 2, 3: 3}
+    monkeypatch.setattr(near_copies, "signatures", lambda *_: marked.withColumn("fp", F.lit(7).cast("long")))
+    assert {r.doc_id: r.component_id for r in near_copies.near_copies(docs).collect()} == {0: 0, 1: 0, 2: 2, 3: 3}

@@ -1,11 +1,15 @@
-"""Near copies by the exact Jaccard similarity of word shingles, for the pipeline's stage.
+"""Near copies by SimHash and the exact Jaccard similarity of word shingles, for the pipeline's stage.
 
 A text's shingles are the 64-bit hashes of its runs of SHINGLE words (ASCII lower case, ASCII blanks between); a text of
 fewer words is one shingle. Two texts link at a similarity of SIMILARITY or more, which is always counted on the whole
-sets of shingles. Candidates are texts that agree in one of BANDS bands of ROWS MinHashes: of pairs at 0.8 exactly,
+sets of shingles.
+
+The first candidates are SimHash's: 64 bits by majority over the shingles, compared bit-sliced by simhash.link_edges.
+Texts whose fingerprints are linked at three bits or fewer, or by others, are one group. Of pairs at 0.8 about ten bits
+differ, so further candidates are texts that agree in one of BANDS bands of ROWS MinHashes: of pairs at 0.8 exactly,
 1 - (1 - 0.8 ** ROWS) ** BANDS, or 0.99995, are candidates, and more of closer ones.
 
-Texts of the same shingles are one. The bands go in turns, FIRST bands before the others: a later turn looks only at
+Texts of the same shingles are one. SimHash's groups go first, then FIRST bands, then the others: a later turn looks only at
 groups whose members are not all linked yet, so a large family of copies is sent a few times, not once for each band.
 Groups of the same members are one. Members of a group are compared unless they are linked already, whose pairs could
 add nothing to components. A group of more than GROUP texts is dealt into parts of about that size, each of which gets
@@ -60,6 +64,14 @@ def shingles(text: str, shingle: int = SHINGLE) -> np.ndarray:
     return np.unique(h ^ (h >> np.uint64(29)))
 
 
+def fingerprint(sets: np.ndarray) -> np.uint64:
+    """SimHash of a set of shingles: a bit is 1 if set in over half of them; without shingles zero."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(sets), BLOCK):
+        ones += np.unpackbits(sets[at : at + BLOCK].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > len(sets)).view(">u8")[0].astype(np.uint64)
+
+
 class Bands:
     """Keys of the bands of a set of shingles; `salt` gives further MinHashes."""
 
@@ -86,7 +98,7 @@ def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(key, doc_id, sid, bands): key names id and text, sid the set of shingles."""
+    """(key, doc_id, sid, fp, bands): key names id and text, sid the set of shingles, fp is their SimHash."""
 
     def make():
         import pyarrow as pa
@@ -95,17 +107,31 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         bands = Bands()
 
         def work(batch):
-            sid, keys = [], []
+            sid, fp, keys = [], [], []
             for t in batch.column(2).to_pylist():
                 found = shingles(t)
                 sid.append(xxhash.xxh64_intdigest(found.tobytes(), SEED))
+                fp.append(fingerprint(found))
                 keys.append(bands.keys(found))
             relax()
-            return [batch.column(0), batch.column(1), np.array(sid, np.uint64).view(np.int64), pa.array(keys, pa.list_(pa.int64()))]
+            return [batch.column(0), batch.column(1), *(np.array(x, np.uint64).view(np.int64) for x in (sid, fp)), pa.array(keys, pa.list_(pa.int64()))]
 
         return work
 
-    return map_batches(keyed_texts(docs, id_col, text_col), make, "key string, doc_id long, sid long, bands array<long>")
+    return map_batches(keyed_texts(docs, id_col, text_col), make, "key string, doc_id long, sid long, fp long, bands array<long>")
+
+
+def simhash_groups(marked: DataFrame) -> DataFrame:
+    """(band, sid): texts whose SimHashes links connect, by the smallest of these, as a stored table; marked: (sid, fp)."""
+    from .simhash import components, link_edges
+
+    of = stored(marked.select("sid", "fp").distinct(), "fingerprints")
+    distinct = stored(of.select("fp").distinct(), "distinct")
+    found = components(link_edges(distinct))
+    keyed = of.join(found, F.col("fp") == F.col("node"), "left").select(F.coalesce("root", "fp").alias("band"), "sid")
+    out = in_use(keyed)
+    discard(of, distinct)
+    return out
 
 
 def shingle_sets(docs: DataFrame, chosen: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -234,11 +260,13 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     slots = stored(marked.select("sid", F.posexplode("bands").alias("slot", "band")).distinct(), "bands")
     keyed = in_use(slots)
     discard(slots)
-    needed = keyed.select("sid").distinct()
+    alike = simhash_groups(marked)
+    needed = keyed.select("sid").unionByName(alike.select("sid")).distinct()
     chosen = stored(marked.join(needed, "sid", "left_semi").groupBy("sid").agg(F.min("key").alias("key")).select("key", "sid"), "chosen")
     sets = stored(shingle_sets(docs, chosen, id_col, text_col), "sets")
     first, second = (stored(keyed.where(c).select("band", "sid"), "turn") for c in (F.col("slot") < FIRST, F.col("slot") >= FIRST))
-    edges = turn(first, sets, None, group)
+    edges = turn(alike, sets, None, group)
+    edges = edges.unionByName(turn(first, sets, components(edges), group))
     edges = edges.unionByName(turn(second, sets, components(edges), group))
     found = components(edges)
     split = split_groups(keyed.select("band", "sid"), found, group)
@@ -250,5 +278,5 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     of = stored(distinct.join(found, F.col("sid") == F.col("node"), "left").select("sid", "least", F.coalesce("root", "sid").alias("root")), "of")
     least = of.groupBy("root").agg(F.min("least").alias("component_id"))
     of = stored(of.join(least, "root").select(F.col("sid").alias("s"), F.col("root").alias("component"), "component_id"), "components")
-    discard(keyed, chosen, sets, first, second, split)
+    discard(keyed, alike, chosen, sets, first, second, split)
     return marked.join(of, F.col("sid") == F.col("s")).select("key", "doc_id", "component", "component_id")
